@@ -29,7 +29,9 @@ BASE = ("too_few_words", "repeated_windows")
 #: Versioned policies: the rules that reject a document.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": BASE,
-    "v1": (*BASE, "too_many_words", "short_words", "long_words", "symbols_per_word", "repeated_lines", "upper_case", "exclamations"),
+    # repeated lines alone don't reject: line dedup, which follows, takes them out of otherwise clean documents
+    "v1": (*BASE, "too_many_words", "short_words", "long_words", "symbols_per_word", "upper_case", "exclamations"),
+    "strict": (*BASE, "too_many_words", "short_words", "long_words", "symbols_per_word", "repeated_lines", "upper_case", "exclamations"),
 }
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaims")
 
@@ -141,6 +143,6 @@ f AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_re
         + CASE WHEN word_chars > 20 * n_words THEN 16 ELSE 0 END + CASE WHEN 10 * n_symbols > 3 * n_words THEN 32 ELSE 0 END
         + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 64 ELSE 0 END + CASE WHEN 10 * n_upper > 4 * word_chars THEN 128 ELSE 0 END
         + CASE WHEN 10 * n_exclaims > 3 * n_words THEN 256 ELSE 0 END)::BIGINT AS failures FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures = 0 AS kept,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures & 447 = 0 AS kept,
   n_lines, n_upper, n_exclaims, failures FROM f
 """
