@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def words(text: Column) -> Column:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, most_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each part holds at most most_bytes of column, or a single longer row."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and (held + n > most_bytes or i - start >= most_rows):

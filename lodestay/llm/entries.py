@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from lodestay.llm import mixing, quality, sharding, simhash
+from lodestay.llm import maxent, media, mixing, packing, pii, quality, sharding, simhash, tokencount
 
 QUERIES = {
+    "op1_skip_chain": pii.op1_skip_chain,
+    "op2_progressive_jpeg": media.op2_progressive_jpeg,
     "op4_external_shuffle": sharding.op4_external_shuffle,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_maxent": maxent.op6_maxent,
     "op7_simhash": simhash.op7_simhash,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_token_counts": tokencount.op9_token_counts,
+    "op10_karmarkar_karp": packing.op10_karmarkar_karp,
 }
 ORACLE_SQL = {"op5_mix_sources": mixing.OP5_SQL, "op8_quality_rules": quality.OP8_SQL}
