@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lodestay.llm import maxent, media, mixing, packing, pii, quality, sharding, simhash, tokencount
+from lodestay.llm import linededup, maxent, media, mixing, packing, pii, quality, sharding, simhash, tokencount
 
 QUERIES = {
     "op1_skip_chain": pii.op1_skip_chain,
     "op2_progressive_jpeg": media.op2_progressive_jpeg,
+    "op3_line_edit_join": linededup.op3_line_edit_join,
     "op4_external_shuffle": sharding.op4_external_shuffle,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_maxent": maxent.op6_maxent,

@@ -117,8 +117,14 @@ def ablations(stored: DataFrame, policy: str = "v1") -> DataFrame:
 
 
 def quality_filter(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """docs without the rejected rows; same columns."""
-    return judge(ledger(docs), policy).where("kept").select(*docs.columns)
+    """docs without the rejected rows; same columns.
+
+    A row number beside the verdict keeps the optimizer from pushing the filter below the measurements, where every rule
+    would compute them anew.
+    """
+    row = free_name(docs, "__row")
+    judged = judge(ledger(docs), policy).withColumn(row, F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col(row) >= 0)).select(*docs.columns)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
