@@ -1,2 +1,45 @@
+"""From raw documents to packed training sequences: each stage reads what its predecessor kept, written as Parquet."""
+
 from __future__ import annotations
-def run(spark, sf_dir): raise NotImplementedError
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lodestay.llm import linededup, mixing, packing, quality, simhash
+from lodestay.llm.common import documents, materialize
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the current policy keeps."""
+    return quality.quality_filter(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier document, or an earlier line, already has."""
+    return linededup.dedup(docs).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.one_of_each_group(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix sends them, in its order."""
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences."""
+    return packing.pack(docs, with_ids=False)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("source_mix", source_mix), ("pack", pack)]
+#: Fingerprints, tokenizer ids and differencing can't be written in SQL; tests hold the pipeline against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
