@@ -8,14 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: How far below a half still rounds up.
+TIE = 1e-4
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def rounded(c: str | Column, places: int = 4) -> Column:
-    """Half up to some places, as a double, by the same two operations in any engine."""
+    """Half up to some places, as a double, by the same operations in any engine.
+
+    What lies within a ten-thousandth of a unit below a half counts as the half, so that sums of doubles that were added in
+    another order round alike.
+    """
     scale = float(10**places)
-    return F.floor(col(c).cast("double") * scale + 0.5) / scale
+    return F.floor(col(c).cast("double") * scale + (0.5 + TIE)) / scale
 
 
 def mean(c: str | Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestay.functions import rounded
+from lodestay.functions import TIE, rounded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +31,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 def r(x: str, places: int = 4) -> str:
     """SQL that rounds as lodestay.functions.rounded does."""
-    return f"floor(({x})::DOUBLE * {float(10**places)}::DOUBLE + 0.5) / {float(10**places)}::DOUBLE"
+    return f"floor(({x})::DOUBLE * {float(10**places)}::DOUBLE + {0.5 + TIE}::DOUBLE) / {float(10**places)}::DOUBLE"
 
 
 def b(x: str) -> str:
