@@ -46,6 +46,18 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def shield(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns that an operator works on, and all others in one struct, where their names can't clash with its own."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    return docs.select(*needed, F.struct(*(others or [F.lit(0).alias("none")])).alias("__row"))
+
+
+def unshield(df: DataFrame, docs: DataFrame, *needed: str, **changed: Column) -> DataFrame:
+    """The columns of docs again, those in changed by their new value."""
+    value = lambda c: changed[c] if c in changed else F.col(c) if c in needed else F.col("__row").getField(c)
+    return df.select(*[value(c).alias(c) for c in docs.columns])
+
+
 def words(text: Column) -> Column:
     """Maximal runs of anything but the six blanks; an empty array for null or blank text."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

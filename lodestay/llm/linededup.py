@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestay.llm.common import BLANKS, components, documents, materialize, slices
+from lodestay.llm.common import BLANKS, components, documents, materialize, shield, slices, unshield
 
 EDITS, MIN_CHARS, CELL = 2, 20, 4000
 PAIRS = 8192  # verified side by side
@@ -344,6 +344,15 @@ def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> Da
     return both.drop("__doc", "__key", "__gone", "__rows")
 
 
+def without_repeated_lines(docs: DataFrame) -> DataFrame:
+    """docs with the lines that dedup() keeps; same columns."""
+    done = dedup(shield(docs, "doc_id", "text"))
+    changed = {}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("__row").getField("n_chars"))
+    return unshield(done, docs, "doc_id", "text", **changed)
+
+
 def op3_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_linked", "n_dropped", "first_doc_ids", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

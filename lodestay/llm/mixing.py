@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestay.llm.common import documents, words
+from lodestay.llm.common import documents, shield, unshield, words
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -87,15 +87,16 @@ def mix(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
 
     A document cut by the budget keeps its first words up to the cut; a column n_chars follows the text.
     """
-    planned = schedule(docs, seed)
+    planned = schedule(shield(docs, "doc_id", "source", "text"), seed)
     sent = planned.select("*", F.posexplode("served").alias("__epoch", "__sent")).where("__sent > 0")
     sent = sent.withColumn("__at", F.col("finish") + F.col("__epoch") * F.col("source_size") / F.col("target"))
     part = F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0)
     cut = F.concat(part, F.array_join(F.slice(words(F.col("text")), 1, F.greatest(F.col("__sent").cast("int"), F.lit(1))), " "))
-    sent = sent.withColumn("text", F.when(F.col("__sent") < F.col("size"), cut).otherwise(F.col("text")))
+    part_sent = F.col("__sent") < F.col("size")
+    changed = {"text": F.when(part_sent, cut).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        sent = sent.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return range_sorted(sent, "__at", "doc_id").select(*docs.columns)
+        changed["n_chars"] = F.when(part_sent, F.length(cut).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("__row").getField("n_chars"))
+    return unshield(range_sorted(sent, "__at", "doc_id"), docs, "doc_id", "source", "text", **changed)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestay.llm.common import BLANKS, documents, free_name, words
+from lodestay.llm.common import BLANKS, documents, free_name, shield, unshield, words
 
 #: Fixed values: (name, failing condition over the measurements). A rule's bit is its place in this list; only append.
 RULES: list[tuple[str, str]] = [
@@ -64,7 +64,7 @@ def _covered(hashes: Column) -> Column:
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the measurements, `failures` (long, bit i set when RULES[i] fails) and nothing decided yet."""
-    w, h, t = (free_name(docs, x) for x in ("__words", "__hashes", "__text"))
+    w, h, t, held = (free_name(docs, x) for x in ("__words", "__hashes", "__text", "__lines"))
     base = docs.drop(*[c for c in docs.columns if c in (*MEASURES, "failures")])
     lines = F.filter(F.split(F.col(t), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     n = F.size(w)
@@ -73,20 +73,20 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
         base.withColumn(t, F.coalesce(F.col(text), F.lit("")))
         .withColumn(w, words(F.col(text)))
         .withColumn(h, hashed)
-        .withColumn("__lines", lines)
+        .withColumn(held, lines)
         .withColumns(
             {
                 "n_words": n.cast("long"),
                 "word_chars": F.length(F.translate(F.col(t), BLANKS, "")).cast("long"),
                 "n_symbols": _count_of(F.col(t), "#*$%&|<>"),
-                "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+                "n_dup_lines": (F.size(held) - F.size(F.array_distinct(held))).cast("long"),
                 "n_repeat_words": F.when(F.size(F.array_distinct(F.col(h))) < F.size(F.col(h)), _covered(F.col(h))).otherwise(F.lit(0)).cast("long"),
-                "n_lines": F.size("__lines").cast("long"),
+                "n_lines": F.size(held).cast("long"),
                 "n_upper": _count_of(F.col(t), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
                 "n_exclaims": _count_of(F.col(t), "!"),
             }
         )
-        .drop(t, w, h, "__lines")
+        .drop(t, w, h, held)
     )
     bits = reduce(lambda a, b: a.bitwiseOR(b), [F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, (_, rule) in enumerate(RULES)])
     return measured.withColumn("failures", bits)
@@ -111,7 +111,7 @@ def ablations(stored: DataFrame, policy: str = "v1") -> DataFrame:
     return each.groupBy("rule").agg(
         F.sum(F.when(hit, F.col("docs")).otherwise(0)).alias("failing"),
         F.sum(F.when(F.col("bits") == F.col("bit"), F.col("docs")).otherwise(0)).alias("failing_alone"),
-        F.sum(F.when(F.col("bits").bitwiseAND(~F.col("bit")) == 0, F.col("docs")).otherwise(0)).alias("kept_without"),
+        F.sum(F.when(F.col("bits").bitwiseAND(F.bitwise_not(F.col("bit"))) == 0, F.col("docs")).otherwise(0)).alias("kept_without"),
         F.bit_or(F.when(hit, F.col("bits")).otherwise(F.lit(0))).alias("fails_together_with"),
     )
 
@@ -122,9 +122,8 @@ def quality_filter(docs: DataFrame, policy: str = "v1") -> DataFrame:
     A row number beside the verdict keeps the optimizer from pushing the filter below the measurements, where every rule
     would compute them anew.
     """
-    row = free_name(docs, "__row")
-    judged = judge(ledger(docs), policy).withColumn(row, F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col(row) >= 0)).select(*docs.columns)
+    judged = judge(ledger(shield(docs, "text")), policy).withColumn("__nth", F.monotonically_increasing_id())
+    return unshield(judged.where(F.col("kept") & (F.col("__nth") >= 0)), docs, "text")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,11 +17,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestay.llm.common import as_bytes, components, documents, materialize, slices
+from lodestay.llm.common import as_bytes, components, documents, materialize, shield, slices, unshield
 
 SHINGLE = 4
 SEED = 42
@@ -175,14 +175,12 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS)
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """docs with one document of each component: that whose doc_id names it; of rows equal in doc_id, one; same columns."""
-    from pyspark.sql import Window
-
-    narrow = docs.select("doc_id", "text")
-    found = near_duplicates(narrow)
-    ids = found.where(F.col("doc_id").isNull() & F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    again = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), F.xxhash64(*docs.columns))
-    return kept.withColumn("__nth", F.row_number().over(again)).where("__nth = 1").drop("__nth")
+    found = near_duplicates(docs.select("doc_id", "text"))
+    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    rows = shield(docs, "doc_id", "text").withColumn("__order", F.xxhash64("text", "__row"))
+    kept = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    again = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "__order")
+    return unshield(kept.withColumn("__nth", F.row_number().over(again)).where("__nth = 1"), docs, "doc_id", "text")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
