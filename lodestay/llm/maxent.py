@@ -3,7 +3,7 @@
 The most frequent words get ids of their own; all others share tail ids by a hash of their last two bytes, inside which they
 follow their smoothed counts. Ids are ranked by count and cut into classes of SLOTS. A token's probability is that of its
 class given the context, times that of its slot given class and context; both are softmaxes over log counts plus a row of
-weights for each active feature (the words one, two and three back, and the pair before; class with one and with two back),
+weights for each active feature (the words one and two back, and the pair before; class with one and with two back),
 rows being found by hash. The distribution sums to one over all known words and one unknown word.
 
 Training: token counts come from all training documents. Then each round deals a share of them over tasks; a task makes
@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from lodestay.llm.common import as_bytes, documents, materialize, slices
 
-SLOTS = 64  # words of a class, and classes
-TAILS = 256
+SLOTS = 40  # words of a class, and classes
+TAILS = 160
 WORDS = SLOTS * SLOTS - TAILS  # with ids of their own, the end token among them
 START = SLOTS * SLOTS
 HEAD = 1 << 17  # words whose counts every task has
@@ -42,7 +42,7 @@ STEP = 4096  # tokens of a gradient step
 RATE = 0.5
 TASK_TOKENS = 4_000_000
 #: Multipliers of the hashes, fixed: odd numbers.
-MIX = (2654435761, 2246822519, 3266489917, 668265263, 374761393, 3182667139)
+MIX = (2654435761, 2246822519, 668265263, 374761393, 3182667139)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -115,10 +115,10 @@ class Vocabulary:
 
 
 def contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(3, n): the ids one, two and three back; START before a text's beginning."""
-    out = np.full((3, len(ids)), START, np.int64)
+    """(2, n): the ids one and two back; START before a text's beginning."""
+    out = np.full((2, len(ids)), START, np.int64)
     since = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
-    for k in range(3):
+    for k in range(2):
         ok = np.flatnonzero(since > k)
         out[k, ok] = ids[ok - k - 1]
     return out
@@ -126,20 +126,20 @@ def contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def features(ctx: np.ndarray, ids: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Rows of the class table and of the slot table for each token."""
-    one, two, three = ctx
+    one, two = ctx
     cls = ids // SLOTS
     put = lambda x: ((x & 0xFFFFFFFF) >> 18).astype(np.uint16)  # noqa: E731  the top 14 of 32 bits
     pair = one * (START + 1) + two
     return (
-        [put((one + 1) * MIX[0]), put((two + 1) * MIX[1]), put((three + 1) * MIX[2]), put((pair + 1) * MIX[3])],
-        [put((one * SLOTS + cls + 1) * MIX[4]), put((two * SLOTS + cls + 1) * MIX[5])],
+        [put((one + 1) * MIX[0]), put((two + 1) * MIX[1]), put((pair + 1) * MIX[2])],
+        [put((one * SLOTS + cls + 1) * MIX[3]), put((two * SLOTS + cls + 1) * MIX[4])],
     )
 
 
 def softmax(rows: list[np.ndarray], table: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = table[rows[0]]
+    z = table.take(rows[0], axis=0, mode="clip")
     for r in rows[1:]:
-        z += table[r]
+        z += table.take(r, axis=0, mode="clip")
     z += bias
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
@@ -166,7 +166,7 @@ class Model:
 
     def learn(self, ids: np.ndarray, starts: np.ndarray, used: np.ndarray) -> None:
         """Gradient steps over texts; used: how often each row was active so far, which slows its steps down."""
-        ctx = contexts(ids, starts)
+        ctx, columns = contexts(ids, starts), np.arange(SLOTS)
         for i in range(0, len(ids), STEP):
             y = ids[i : i + STEP]
             n = np.arange(len(y))
@@ -174,13 +174,17 @@ class Model:
                 table = self.w[level]
                 g = softmax(rows, table, bias)
                 g[n, want] -= 1.0
+                flat = g.ravel()
                 for r in rows:
                     order = np.argsort(r, kind="stable")
-                    s = r[order]
-                    first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-                    row = s[first].astype(np.int64)
-                    used[level, row] += np.diff(np.append(first, len(s)))
-                    table[row] -= np.add.reduceat(g[order], first) * (RATE / np.sqrt(1.0 + used[level, row]))[:, None].astype(np.float32) / len(rows)
+                    ranked = r[order]
+                    fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+                    row = ranked[fresh].astype(np.int64)
+                    place = np.empty(len(r), np.int64)
+                    place[order] = np.cumsum(fresh) - 1
+                    used[level, row] += np.bincount(place)
+                    total = np.bincount((place[:, None] * SLOTS + columns).ravel(), weights=flat).reshape(-1, SLOTS)
+                    table[row] -= total * (RATE / np.sqrt(1.0 + used[level, row]) / len(rows))[:, None]
 
 
 def joined(texts: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -229,7 +233,14 @@ def fit(training: DataFrame) -> tuple[DataFrame, Vocabulary, np.ndarray, dict]:
     counts = materialize(token_counts(training), "token-counts")
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     docs = training.count()
-    head = [(r["token"], r["n"]) for r in counts.orderBy(F.desc("n"), "token").limit(HEAD).collect()]
+    # head words: those above the lowest count that HEAD words at most reach; the counts of counts are few
+    spread = sorted(((r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count("*").alias("words")).toLocalIterator()), reverse=True)
+    least, held = float("inf"), 0
+    for n, w in spread:
+        if held + w > HEAD:
+            break
+        least, held = n, held + w
+    head = sorted(((r["token"], r["n"]) for r in counts.where(F.col("n") >= least).collect()), key=lambda r: (-r[1], r[0]))
     own = {w for w, _ in head[: WORDS - 1]}
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
