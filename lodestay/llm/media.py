@@ -27,7 +27,6 @@ from functools import cache, lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestay.llm.common import as_bytes, documents, slices
