@@ -28,16 +28,12 @@ def add(name: str, query: Callable[[Tables], DataFrame], sql: str) -> None:
     registry.add(name, lambda spark, d: flat(query(Tables(spark, d))), sql)
 
 
-def PRICE():  # noqa: N802  a column can only be made while a session runs
-    return F.col("l_extendedprice").cast("decimal(12,2)")
-
-
 P = "l_extendedprice::DECIMAL(12,2)"
 SHIP = "l_shipdate::DATE"
 
 
 def items(t: Tables) -> DataFrame:
-    return t.lineitem.withColumns({"price": PRICE(), "ship": F.to_date("l_shipdate")})
+    return t.lineitem.withColumns({"price": F.col("l_extendedprice").cast("decimal(12,2)"), "ship": F.to_date("l_shipdate")})
 
 
 # Projections, predicates and nulls.
