@@ -144,24 +144,46 @@ class Verifier:
         sig = np.stack([bins(x) for x in lines]).astype(np.int16)
         length = np.array([len(x) for x in lines])
         group = np.arange(len(lines))
-        if len(lines) > 64:  # a hub that is close to many lines settles most pairs of a dense key
-            for hub in range(0, len(lines), max(1, len(lines) // 8)):
-                near = np.flatnonzero((group != group[hub]) & self.close(sig, length, hub))
-                ok = near[within([(lines[hub], lines[i]) for i in near.tolist()], self.edits)] if len(near) else near
-                self.links += [(int(ids[hub]), int(ids[i])) for i in ok]
-                group[np.isin(group, group[ok])] = group[hub]
+        if len(lines) > 64:
+            self.crowd(ids, lines, sig, length, group)
+            return
         for i in range(len(lines) - 1):
-            near = np.flatnonzero((group[i + 1 :] != group[i]) & self.close(sig[i + 1 :], length[i + 1 :], sig[i], length[i])) + i + 1
+            near = np.flatnonzero(self.close(sig[i + 1 :], length[i + 1 :], sig[i], length[i])) + i + 1
             for k in near.tolist():
-                pair = (min(ids[i], ids[k]), max(ids[i], ids[k]))
+                pair = (min(int(ids[i]), int(ids[k])), max(int(ids[i]), int(ids[k])))
                 if pair not in self.seen:
                     self.seen.add(pair)
                     self.pending.append((pair, lines[i], lines[k]))
         if len(self.pending) >= PAIRS:
             self.flush()
 
-    def close(self, sig: np.ndarray, length: np.ndarray, at, own_length=None) -> np.ndarray:
-        mine, n = (sig[at], length[at]) if own_length is None else (at, own_length)
+    def crowd(self, ids: np.ndarray, lines: list[str], sig: np.ndarray, length: np.ndarray, group: np.ndarray) -> None:
+        """Many lines of a key: pairs are verified a bounded number at a time, and not at all once other links connect them."""
+
+        def settle(first: np.ndarray, second: np.ndarray) -> None:
+            ok = within([(lines[a], lines[b]) for a, b in zip(first.tolist(), second.tolist(), strict=True)], self.edits)
+            for a, b in zip(first[ok].tolist(), second[ok].tolist(), strict=True):
+                if group[a] != group[b]:
+                    self.links.append((int(ids[a]), int(ids[b])))
+                    group[group == group[b]] = group[a]
+
+        for hub in range(0, len(lines), max(1, len(lines) // 8)):  # a line close to many settles most pairs of a dense key
+            near = np.flatnonzero((group != group[hub]) & self.close(sig, length, sig[hub], length[hub]))
+            settle(np.full(len(near), hub), near)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+        for i in range(len(lines) - 1):
+            near = np.flatnonzero((group[i + 1 :] != group[i]) & self.close(sig[i + 1 :], length[i + 1 :], sig[i], length[i])) + i + 1
+            if len(near):
+                waiting.append((np.full(len(near), i), near))
+                held += len(near)
+            if waiting and (held >= PAIRS or i == len(lines) - 2):
+                first, second = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                still = group[first] != group[second]
+                settle(first[still], second[still])
+                waiting, held = [], 0
+
+    def close(self, sig: np.ndarray, length: np.ndarray, mine: np.ndarray, n: int) -> np.ndarray:
         d = np.abs(sig - mine)
         return (np.abs(length - n) <= self.edits) & (np.minimum(d, 256 - d).sum(axis=1) <= 2 * self.edits)
 
@@ -169,7 +191,7 @@ class Verifier:
         ok = within([(a, b) for _, a, b in self.pending], self.edits)
         self.links += [(int(u), int(v)) for ((u, v), _, _), y in zip(self.pending, ok, strict=True) if y]
         self.pending.clear()
-        if len(self.seen) > 500_000:
+        if len(self.seen) > 200_000:
             self.seen.clear()
 
 
