@@ -4,8 +4,9 @@ A line is cut into edits + 1 segments; two lines within that distance share one
 lengths allow. So each line is indexed under its segments and looks up its own substrings under each possible length, at
 the places that can still lead to a match. Only numbers are dealt by key; keys that hold one line end there, and texts are
 fetched for the rest. Pairs in a key that pass a count-of-letters bound are verified by banded bit-parallel edit distance,
-thousands side by side. Classes are the components of the links; of a class, the first line in order of doc_id and place
-stays, the others leave their documents.
+thousands side by side, each pair in one key only. All verified pairs are counted, by line; a spanning set of them goes on
+as links. Classes are the components of the links; of a class, the first line in order of doc_id and place stays, the
+others leave their documents.
 
 Lines are compared without blanks at their ends. Lines of fewer than `min_chars` code points (and blank ones) always stay
 and take no part. Null text stays null; a null doc_id counts as last; rows equal in doc_id and text are one document, whose
@@ -15,6 +16,7 @@ Lines and documents are told apart by 64-bit hashes. A key with more lines than
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,65 +136,72 @@ def bins(line: str) -> np.ndarray:
 
 
 class Verifier:
-    """Gathers candidate pairs of many keys, verifies them side by side, and gives each link once in a while."""
+    """Gathers candidate pairs of many keys and verifies them side by side. links: a spanning set of the verified pairs;
+    counts: the number of verified pairs of each line.
+
+    A pair meets in several keys. It is verified in one of them: the first segment of its shorter line (of equally long ones,
+    that of the smaller id) that the other line shares. By the pigeonhole every close pair has such a key.
+    """
 
     def __init__(self, edits: int):
-        self.edits, self.pending, self.seen, self.links = edits, [], set(), []
+        self.edits, self.pending, self.links = edits, [], []
+        self.counts: Counter[int] = Counter()
+        self.parent: dict[int, int] = {}
+        self.known: dict[int, tuple[list[int], set[int]]] = {}
 
-    def run(self, ids: np.ndarray, lines: list[str]) -> None:
-        """Candidates among the distinct lines of a key."""
+    def run(self, ids: np.ndarray, lines: list[str], key: int | None = None, part: np.ndarray | None = None) -> None:
+        """Candidates among the distinct lines of a key; without a key, all pairs. part: only pairs of unequal parts."""
         sig = np.stack([bins(x) for x in lines]).astype(np.int16)
         length = np.array([len(x) for x in lines])
-        group = np.arange(len(lines))
-        if len(lines) > 64:
-            self.crowd(ids, lines, sig, length, group)
-            return
-        for i in range(len(lines) - 1):
-            near = np.flatnonzero(self.close(sig[i + 1 :], length[i + 1 :], sig[i], length[i])) + i + 1
-            for k in near.tolist():
-                pair = (min(int(ids[i]), int(ids[k])), max(int(ids[i]), int(ids[k])))
-                if pair not in self.seen:
-                    self.seen.add(pair)
-                    self.pending.append((pair, lines[i], lines[k]))
-        if len(self.pending) >= PAIRS:
-            self.flush()
-
-    def crowd(self, ids: np.ndarray, lines: list[str], sig: np.ndarray, length: np.ndarray, group: np.ndarray) -> None:
-        """Many lines of a key: pairs are verified a bounded number at a time, and not at all once other links connect them."""
-
-        def settle(first: np.ndarray, second: np.ndarray) -> None:
-            ok = within([(lines[a], lines[b]) for a, b in zip(first.tolist(), second.tolist(), strict=True)], self.edits)
-            for a, b in zip(first[ok].tolist(), second[ok].tolist(), strict=True):
-                if group[a] != group[b]:
-                    self.links.append((int(ids[a]), int(ids[b])))
-                    group[group == group[b]] = group[a]
-
-        for hub in range(0, len(lines), max(1, len(lines) // 8)):  # a line close to many settles most pairs of a dense key
-            near = np.flatnonzero((group != group[hub]) & self.close(sig, length, sig[hub], length[hub]))
-            settle(np.full(len(near), hub), near)
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
+        names = ids.tolist()
         for i in range(len(lines) - 1):
-            near = np.flatnonzero((group[i + 1 :] != group[i]) & self.close(sig[i + 1 :], length[i + 1 :], sig[i], length[i])) + i + 1
-            if len(near):
-                waiting.append((np.full(len(near), i), near))
-                held += len(near)
-            if waiting and (held >= PAIRS or i == len(lines) - 2):
-                first, second = (np.concatenate(x) for x in zip(*waiting, strict=True))
-                still = group[first] != group[second]
-                settle(first[still], second[still])
-                waiting, held = [], 0
+            near = self.close(sig[i + 1 :], length[i + 1 :], sig[i], length[i])
+            if part is not None:
+                near &= part[i + 1 :] != part[i]
+            for k in (np.flatnonzero(near) + i + 1).tolist():
+                if key is None or self.first(key, names[i], lines[i], names[k], lines[k]):
+                    self.pending.append((names[i], names[k], lines[i], lines[k]))
+            if len(self.pending) >= PAIRS:
+                self.flush()
+
+    def first(self, key: int, u: int, a: str, v: int, b: str) -> bool:
+        """Whether the pair is verified in this key."""
+        if (len(a), u) > (len(b), v):
+            u, a, v, b = v, b, u, a
+        own, others = self.keys(u, a)[0], self.keys(v, b)[1]
+        return next((k for k in own if k in others), None) == key
+
+    def keys(self, name: int, line: str) -> tuple[list[int], set[int]]:
+        """The keys under which a line is indexed, by segment, and all its keys."""
+        if name not in self.known:
+            if len(self.known) > 20_000:
+                self.known.clear()
+            own, probes = keys_of(line, self.edits)
+            self.known[name] = own, {*own, *probes}
+        return self.known[name]
 
     def close(self, sig: np.ndarray, length: np.ndarray, mine: np.ndarray, n: int) -> np.ndarray:
         d = np.abs(sig - mine)
         return (np.abs(length - n) <= self.edits) & (np.minimum(d, 256 - d).sum(axis=1) <= 2 * self.edits)
 
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
     def flush(self) -> None:
-        ok = within([(a, b) for _, a, b in self.pending], self.edits)
-        self.links += [(int(u), int(v)) for ((u, v), _, _), y in zip(self.pending, ok, strict=True) if y]
+        ok = within([(a, b) for _, _, a, b in self.pending], self.edits)
+        found = [(u, v) for (u, v, _, _), y in zip(self.pending, ok.tolist(), strict=True) if y]
         self.pending.clear()
-        if len(self.seen) > 200_000:
-            self.seen.clear()
+        self.counts.update(u for u, _ in found)
+        self.counts.update(v for _, v in found)
+        if len(self.parent) > 200_000:
+            self.parent.clear()
+        for u, v in found:
+            if (a := self.root(u)) != (b := self.root(v)):
+                self.parent[b] = a
+                self.links.append((u, v))
 
 
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -293,8 +302,9 @@ def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array(x[keep]), pa.array(np.repeat(members, size)[keep])], names=["key", "line", "members"])
 
 
-def links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, cell: int = CELL) -> DataFrame:
-    """docs (text) -> links (u, v) of line ids that connect exactly the lines connected within edits."""
+def verified(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, cell: int = CELL) -> DataFrame:
+    """docs (text) -> u, v, n: links (u, v; n is 0) of line ids that connect exactly the lines connected within edits, and rows
+    with u = v whose n add up to the number of other lines within edits of line u."""
     if min_chars <= edits + 1:
         raise ValueError("min_chars must exceed edits + 1")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -302,47 +312,65 @@ def links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, cell:
     shared = materialize(dealt.mapInArrow(shared_keys, "key long, line long, members long"), "shared-keys")
     wanted = shared.select("line").distinct()
     texts = line_texts(docs, min_chars).join(wanted, "line", "left_semi").dropDuplicates(["line"])
+    # lines of one part meet in its cell with itself; the cell of two parts is for pairs across them
     parts = F.ceil(F.col("members") / cell).cast("long")
     mine = F.pmod(F.xxhash64("line"), parts)
-    split = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda j: F.xxhash64("key", F.least(mine, j), F.greatest(mine, j)))
-    cells = shared.select("line", F.explode(F.when(F.col("members") <= cell, F.array("key")).otherwise(split)).alias("cell"))
+    split = F.transform(
+        F.sequence(F.lit(0).cast("long"), parts - 1),
+        lambda j: F.struct(F.xxhash64("key", F.least(mine, j), F.greatest(mine, j)).alias("cell"), mine.alias("part"), (mine != j).alias("across")),
+    )
+    whole = F.array(F.struct(F.col("key").alias("cell"), F.lit(0).cast("long").alias("part"), F.lit(False).alias("across")))
+    cells = shared.select("line", "key", F.explode(F.when(F.col("members") <= cell, whole).otherwise(split)).alias("c")).select("line", "key", "c.*")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Verifier(edits)
 
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([x[i] for x in v.links], pa.int64()) for i in (0, 1)], names=["u", "v"])
+        def out(least: int) -> pa.RecordBatch:
+            rows = [(a, b, 0) for a, b in v.links]
             v.links.clear()
-            return made
-
-        for key, line, content in runs(batches, "cell", "line", "content", most=20_000):
-            k, ids, lines = key.to_numpy(), line.to_numpy(), content.to_pylist()
+            if len(v.counts) >= least:
+                rows += [(x, x, k) for x, k in v.counts.items()]
+                v.counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in range(3)], names=["u", "v", "n"])
+
+        for cell_, line, content, key, part, across in runs(batches, "cell", "line", "content", "key", "part", "across", most=20_000):
+            k, ids, lines, own, at = cell_.to_numpy(), line.to_numpy(), content.to_pylist(), key.to_numpy(), part.to_numpy()
+            apart = across.to_numpy()
             starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(k)], strict=True):
                 if b - a > 1:
-                    v.run(ids[a:b], lines[a:b])
-            yield out()
+                    v.run(ids[a:b], lines[a:b], int(own[a]), at[a:b] if apart[a:b].any() else None)
+            yield out(200_000)
         v.flush()
-        yield out()
+        yield out(0)
 
     met = cells.join(texts, "line").repartition(n, "cell").sortWithinPartitions("cell")
-    return met.select("cell", "line", "content").mapInArrow(verify, "u long, v long").distinct()
+    return met.select("cell", "line", "content", "key", "part", "across").mapInArrow(verify, "u long, v long, n long")
+
+
+def links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, cell: int = CELL) -> DataFrame:
+    """docs (text) -> links (u, v) of line ids that connect exactly the lines connected within edits."""
+    return verified(docs, edits, min_chars, cell).where("u <> v").select("u", "v").distinct()
 
 
-def line_classes(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """Lines of classes of several texts: line, class."""
-    return components(links(docs, edits, min_chars), "line-components").select(F.col("node").alias("line"), F.col("component").alias("class"))
+def line_classes(docs: DataFrame, edits: int, min_chars: int, cell: int = CELL) -> DataFrame:
+    """Lines of classes of several texts: line, class (the smallest line id), links (other lines within edits)."""
+    found = materialize(verified(docs, edits, min_chars, cell), "verified")
+    groups = components(found.select("u", "v"), "line-components")
+    counts = found.where("u = v").groupBy("u").agg(F.sum("n").alias("links"))
+    return groups.join(counts, F.col("node") == F.col("u")).select(F.col("node").alias("line"), F.col("component").alias("class"), "links")
 
 
-def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, cell: int = CELL) -> DataFrame:
     """docs with repeated and near-repeated lines taken out of text, and n_lines (eligible), n_linked (of them, in classes of
-    several texts), n_dropped and first_doc_ids (documents that keep the lines dropped here)."""
-    added = ("n_lines", "n_linked", "n_dropped", "first_doc_ids")
+    several texts), n_dropped, first_doc_ids (documents that keep the lines dropped here) and line_links: of each eligible
+    line the place, class_id (equal for all lines of a class) and n_links (other texts within edits, each counted once)."""
+    added = ("n_lines", "n_linked", "n_dropped", "first_doc_ids", "line_links")
     docs = docs.drop(*added).withColumn("__doc", F.xxhash64("doc_id", "text"))
     narrow = docs.select("__doc", "doc_id", "text")
     places = materialize(occurrences(narrow, min_chars), "lines")
     places = places.dropDuplicates(["__doc", "place"])
-    classes = line_classes(narrow, edits, min_chars)
+    classes = line_classes(narrow, edits, min_chars, cell)
     known = materialize(places.join(classes, "line", "left").withColumn("linked", F.col("class").isNotNull()).withColumn("class", F.coalesce("class", "line")), "line-classes")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__doc", "place")
     firsts = known.groupBy("class").agg(F.count("*").alias("n"), F.min(order).alias("first")).where("n > 1")
@@ -354,6 +382,7 @@ def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> Da
         F.count_if(gone).alias("n_dropped"),
         F.collect_list(F.when(gone, F.col("place"))).alias("__gone"),
         F.array_sort(F.collect_set(F.when(gone, F.col("first.doc_id")))).alias("first_doc_ids"),
+        F.array_sort(F.collect_list(F.struct("place", F.col("class").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links")))).alias("line_links"),
     )
     both = docs.join(verdict, F.col("__doc") == F.col("__key"), "left")
     rows = F.split("text", "\n")
@@ -363,6 +392,7 @@ def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> Da
     if "n_chars" in docs.columns:
         both = both.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     both = both.withColumns({c: F.coalesce(c, F.lit(0)) for c in added[:3]} | {"first_doc_ids": F.coalesce("first_doc_ids", F.array().cast(T.ArrayType(docs.schema["doc_id"].dataType)))})
+    both = both.withColumn("line_links", F.coalesce("line_links", F.array().cast(verdict.schema["line_links"].dataType)))
     return both.drop("__doc", "__key", "__gone", "__rows")
 
 
@@ -377,4 +407,4 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
 def op3_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup(documents(spark, sf_dir).select("doc_id", "text"))
-    return done.select("doc_id", "n_lines", "n_linked", "n_dropped", "first_doc_ids", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return done.select("doc_id", "n_lines", "n_linked", "n_dropped", "first_doc_ids", "line_links", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

@@ -165,6 +165,27 @@ def test_crowded_key_connects_the_same_lines():
     assert union(n, v.links) == want
 
 
+def test_every_link_is_counted_once(spark):
+    rng = random.Random(7)
+    base = [words(rng, 8), words(rng, 9)]
+    lines = sorted({b[:30] + changed(rng, b[30:], rng.randrange(4)) for b in base for _ in range(110)} | {words(rng, 6) for _ in range(10)})
+    close = [(a, b) for n, a in enumerate(lines) for b in lines[n + 1 :] if abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2]
+    root, held = union(lines, close), Counter(x for e in close for x in e)
+    members = Counter(k for x in lines for k in {*linededup.keys_of(x)[0], *linededup.keys_of(x)[1]})
+    assert max(members.values()) > 64
+    rows = [(i, "\n".join([*lines[i::40], "short", lines[i % 7]]), "x", 0) for i in range(40)] + [(50, None, "x", 0), (51, "short", "x", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for cell in (30, 4000):
+        names = {}
+        for r in linededup.dedup(df, cell=cell).collect():
+            text = (rows[r.doc_id][1] if r.doc_id < 40 else "").split("\n")
+            assert [x.place for x in r.line_links] == [k for k, x in enumerate(text) if len(x) >= 20]
+            for x in r.line_links:
+                assert x.n_links == held[text[x.place]]
+                assert names.setdefault(root[text[x.place]], x.class_id) == x.class_id
+        assert len(set(names.values())) == len(names) == len(set(root.values()))
+
+
 def test_shards(spark):
     rows = [(i if i % 7 else None, "t" * (i % 50), "x", 0) for i in range(500)] + [(3, None, "x", 0)] * 20
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id", "fp", "crc32(coalesce(text, '')) AS crc", "length(coalesce(text, '')) + 8L AS size")
