@@ -1,7 +1,8 @@
 """Two-pass external shuffle: scatter rows into memory-sized buckets by a seeded hash, then Fisher-Yates in each bucket.
 
 Pass 1 is one Spark exchange on the bucket number; pass 2 sorts a bucket's rows (so that a repeated task makes the same
-permutation) and shuffles them with a generator seeded by the bucket. A row's rank is its bucket's offset plus its place, so
+permutation) and shuffles them with a generator seeded by the bucket. Whole records move: the query passes doc_id and text
+through both passes, and takes size and checksum from the records that were written. A row's rank is its bucket's offset plus its place, so
 dealing ranks round-robin gives shards whose counts differ by one at most (law `rows`).
 
 Null texts count 8 bytes and checksum 0; equal rows are interchangeable; an empty table gives no rows; other columns pass
@@ -14,7 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +34,7 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return order
 
 
-def external_shuffle(rows: DataFrame, keys: list[str], size: str, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def external_shuffle(rows: DataFrame, keys: list[str], size: str | Column, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """rows with bucket and place: a uniform random order is bucket, then place. keys tell rows apart; size is in bytes."""
     rows = rows.drop(*[c for c in rows.columns if c in ADDED])
     total = rows.agg(F.sum(size)).first()[0] or 0
@@ -51,26 +52,41 @@ def external_shuffle(rows: DataFrame, keys: list[str], size: str, seed: int = 7,
     return scattered.groupBy("bucket").applyInArrow(shuffled, schema)
 
 
-def shard(rows: DataFrame, keys: list[str], size: str, shards: int = SHARDS, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def shard(rows: DataFrame, keys: list[str], size: str | Column, shards: int = SHARDS, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """rows with bucket, place, shard and slot (gapless from 0 in each shard)."""
-    placed = materialize(external_shuffle(rows, keys, size, seed, bucket_bytes), "shuffled")
+    return ranked(materialize(external_shuffle(rows, keys, size, seed, bucket_bytes), "shuffled"), shards)
+
+
+def ranked(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """placed (with bucket and place) with shard and slot."""
     held = placed.groupBy("bucket").agg(F.count("*").alias("n"))  # a row a bucket
     before = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = held.select(F.col("bucket").alias("__b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
-    ranked = placed.join(offsets, placed.bucket == offsets["__b"]).withColumn("__rank", F.col("__offset") + F.col("place"))
-    ranked = ranked.withColumns({"shard": F.pmod("__rank", F.lit(shards)).cast("int"), "slot": F.floor(F.col("__rank") / shards).cast("long")})
-    return ranked.drop("__b", "__offset", "__rank")
+    out = placed.join(offsets, placed.bucket == offsets["__b"]).withColumn("__rank", F.col("__offset") + F.col("place"))
+    out = out.withColumns({"shard": F.pmod("__rank", F.lit(shards)).cast("int"), "slot": F.floor(F.col("__rank") / shards).cast("long")})
+    return out.drop("__b", "__offset", "__rank")
 
 
-def write_shards(rows: DataFrame, keys: list[str], size: str, path: str, shards: int = SHARDS, seed: int = 7) -> None:
+def write_shards(rows: DataFrame, keys: list[str], size: str | Column, path: str, shards: int = SHARDS, seed: int = 7) -> None:
     """Write the shuffled rows, one folder a shard, files in slot order. Buckets stay apart, so a shard may have many files."""
     out = shard(rows, keys, size, shards, seed)
     out.sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
 
 
+def record_bytes(text: str = "text") -> Column:
+    """Bytes that a record with this text counts."""
+    return (F.octet_length(F.encode(F.coalesce(text, F.lit("")), "UTF-8")) + 8).cast("long")
+
+
+def shuffled_documents(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """docs (doc_id, text) shuffled and written whole; of each record read back doc_id, size, text_crc32, shard and slot.
+
+    A rank needs the sizes of all buckets before its own, so ranks are joined to what is left after the text is read."""
+    records = materialize(external_shuffle(docs.select("doc_id", "text"), ["doc_id", "text"], record_bytes(), bucket_bytes=bucket_bytes), "shuffled")
+    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    return ranked(records.select("doc_id", record_bytes().alias("size"), crc.alias("text_crc32"), "bucket", "place"))
+
+
 def op4_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    rows = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    rows = materialize(rows, "sizes")  # so that the texts are read once
-    out = shard(rows, ["doc_id", "text_crc32", "size"], "size")
+    out = shuffled_documents(documents(spark, sf_dir))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -199,3 +200,21 @@ def test_shards(spark):
     assert len({r.bucket for r in one[0]}) > 5
     assert sharding.shard(df.limit(0), ["doc_id", "crc", "size"], "size").count() == 0
     assert sorted(sharding.fisher_yates(100, 1, 2).tolist()) == list(range(100))
+
+
+def test_whole_records_are_shuffled_and_written(spark, tmp_path, monkeypatch):
+    rows = [(i, f"{i} " + "tä" * (i % 50), "x", 0) for i in range(300)] + [(300, None, "x", 0), (301, "z" * 100_000, "x", 0), (None, "n", "x", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    moved = []
+    whole = sharding.external_shuffle
+    monkeypatch.setattr(sharding, "external_shuffle", lambda d, *a, **b: moved.append(d.columns) or whole(d, *a, **b))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sharding.op4_external_shuffle(spark, str(tmp_path)).collect()
+    assert "text" in moved[0] and not {"size", "text_crc32"} & set(moved[0])
+    data = lambda t: (t or "").encode()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, len(data(t)) + 8, zlib.crc32(data(t))) for i, t, *_ in rows)
+    one = whole(docs.select("doc_id", "text"), ["doc_id", "text"], sharding.record_bytes(), bucket_bytes=2000).collect()
+    assert Counter((r.doc_id, r.text) for r in one) == Counter((i, t) for i, t, *_ in rows) and len({r.bucket for r in one}) > 5
+    sharding.write_shards(docs, ["doc_id", "text"], sharding.record_bytes(), f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter((i, t) for i, t, *_ in rows) and len({r.shard for r in back}) == 24
