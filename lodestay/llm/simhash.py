@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,25 +162,31 @@ def links(fps: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS, cell: int
     return ordered.mapInArrow(lambda it: find_links(it, bits), "u long, v long").distinct()
 
 
-def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
-    """docs without the text, with fp and component_id (the smallest doc_id reachable over links of at most bits bits)."""
+def _grouped(docs: DataFrame, bits: int, blocks: int) -> DataFrame:
+    """docs without the text, with fp, component_id and __component (the component's smallest fingerprint)."""
     printed = materialize(fingerprints(docs), "fingerprints")
     unique = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "unique-fingerprints")
     groups = components(links(unique.select("fp"), bits, blocks)).withColumnsRenamed({"node": "__node", "component": "__component"})
     mapped = unique.join(groups, F.col("fp") == F.col("__node"), "left").select(F.col("fp"), "least_id", F.coalesce("__component", "fp").alias("__component"))
     least = mapped.groupBy("__component").agg(F.min("least_id").alias("component_id"))
-    named = mapped.join(least, "__component").select(F.col("fp").alias("__fp"), "component_id")
+    named = mapped.join(least, "__component").select(F.col("fp").alias("__fp"), "component_id", "__component")
     return printed.join(named, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
+def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """docs without the text, with fp and component_id (the smallest doc_id reachable over links of at most bits bits)."""
+    return _grouped(docs, bits, blocks).drop("__component")
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component: that whose doc_id names it; of rows equal in doc_id, one; same columns."""
-    found = near_duplicates(docs.select("doc_id", "text"))
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    rows = shield(docs, "doc_id", "text").withColumn("__order", F.xxhash64("text", "__row"))
-    kept = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    again = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "__order")
-    return unshield(kept.withColumn("__nth", F.row_number().over(again)).where("__nth = 1"), docs, "doc_id", "text")
+    """docs with exactly one row of each component: the smallest doc_id, nulls last, then the smallest hash of text and row;
+    same columns."""
+    rows = shield(docs, "doc_id", "text").withColumn("__hash", F.xxhash64("doc_id", "text", "__row"))
+    found = _grouped(rows.select("doc_id", "text", "__hash"), MAX_BITS, BLOCKS)
+    first = found.groupBy("__component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__hash")).alias("first"))
+    chosen = first.select(F.col("first.__hash").alias("__chosen"))
+    kept = rows.join(chosen, F.col("__hash") == F.col("__chosen"), "left_semi").dropDuplicates(["__hash"])
+    return unshield(kept, docs, "doc_id", "text")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,16 @@ def test_simhash_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
 
 
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (words(rng, n) for n in (60, 90, 70, 80, 50))
+    rows = [(None, a, "x", 0), (None, b, "x", 0), (None, b, "x", 0), (3, c, "x", 0), (3, d, "x", 0), (9, c, "y", 0), (2, d, "y", 0), (None, d, "y", 0), (4, e, "x", 0), (4, e, "x", 0)]
+    roots = union({fingerprint(x) for x in (a, b, c, d, e)}, [])
+    assert len(roots) == 5 and min((p ^ q).bit_count() for p in roots for q in roots if p != q) > 4
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(None, a), (None, b), (3, c), (2, d), (4, e)], key=str)
+
+
 def test_large_keys_are_dealt_in_parts(spark):
     rng = np.random.default_rng(3)
     fps = np.unique(np.concatenate([np.int64(1) << rng.integers(0, 62, 200) | np.int64(1) << rng.integers(0, 62, 200), rng.integers(0, 1 << 62, 100)])).tolist()
