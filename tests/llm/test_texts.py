@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lodestay.llm import maxent, media, packing, pii, tokencount, vocab
@@ -180,7 +181,8 @@ def test_language_model(spark):
             ws.append(rng.choice(follow[ws[-1]]) if ws[-1] in follow and rng.random() < 0.9 else f"rare{rng.randrange(10**6)}")
         texts.append(" ".join(ws))
     d = docs(spark, texts)
-    got = maxent.score(d, maxent.fit(d.where(~maxent.held_out()))).collect()
+    fitted = maxent.fit(d.where(~maxent.held_out()))
+    got = maxent.score(d, fitted).collect()
     assert len(got) == d.count()
     rows = [(r.doc_id, r.text) for r in d.collect()]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
@@ -195,17 +197,39 @@ def test_language_model(spark):
     assert all(r.train_tokens == n and r.n_known <= r.n_tokens for r in got)
     fresh = [r for r in got if r.held_out]
     assert sum(r.score for r in fresh) > sum(r.base_score for r in fresh) + 0.02 * sum(r.n_tokens for r in fresh)
+    few = maxent.fit(d.where(~maxent.held_out()), head=50)  # most known words are joined, not shared
+    assert len(few[1].head) <= 50 < len(fitted[1].head)
+    joined = maxent.score(d, few).collect()
+    assert sorted((str(r.doc_id), r.held_out, round(r.base_score, 6), r.n_known) for r in joined) == sorted((*w, k) for w, k in zip(want, [x.n_known for x in sorted(got, key=lambda r: (str(r.doc_id), r.held_out, round(r.base_score, 6)))], strict=True))
     empty = d.limit(0)
     assert maxent.score(empty, maxent.fit(empty)).count() == 0
 
 
 def test_model_is_a_distribution():
-    head = [(f"w{i}", 5000 - i) for i in range(maxent.WORDS + 200)]
+    head = [(f"w{i}", 9000 - i) for i in range(maxent.WORDS + 200)]
     tails = {k: (10 * k + 1, k + 1) for k in range(maxent.TAILS)}
     model = maxent.Model(maxent.Vocabulary(head, 10**7, 10**4, 50, tails))
     rng = np.random.default_rng(9)
     model.w[:] = rng.normal(size=model.w.shape) / 3
-    for context in ([], [3], [5, 900]):
-        ids = [np.array([*context, y]) for y in range(maxent.START)]
-        p = [model.log10(x, np.array([0]))[-1] for x in ids]
-        assert abs(sum(10.0**x for x in p) - 1) < 1e-3
+    for context in ([], [3], [5, 900, 7, 4000]):
+        ids = np.concatenate([[*context, y] for y in range(maxent.START)])
+        p = model.log10(ids, np.arange(maxent.START) * (len(context) + 1))[len(context) :: len(context) + 1]
+        assert abs((10.0**p).sum() - 1) < 1e-3
+
+
+def test_words_split_as_bytes_do():
+    texts = ["A\x1cb  é\x0bÀ", None, "", " \n ", "x", "ß\x85 Q\tW"]
+    flat, offsets = maxent.words_of(pa.array(texts * 3)[2:14])
+    want = [(t or "").encode().lower().split() for t in (texts * 3)[2:14]]
+    assert [x.encode() for x in flat.to_pylist()] == sum(want, []) and np.diff(offsets).tolist() == list(map(len, want))
+
+
+def test_gradient_lowers_the_loss():
+    rng = np.random.default_rng(10)
+    model = maxent.Model(maxent.Vocabulary([(f"w{i}", 400 - i) for i in range(300)], 10**5, 301, 50, {}))
+    ids = np.cumsum(rng.integers(1, 3, 6000)) % 300
+    before = model.log10(ids, np.array([0])).mean()
+    squares, used = np.ones_like(model.w), np.zeros(model.w.shape[:2])
+    for _ in range(3):
+        model.learn(ids, np.array([0]), squares, used, 500)
+    assert model.log10(ids, np.array([0])).mean() > before + 1 and used[0].sum() == 3 * 4 * 6000
