@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from lodestay.llm import common, linededup, sharding, simhash
@@ -115,60 +116,98 @@ def changed(rng, s, n):
     return "".join(s)
 
 
+def allowed(a, b):
+    n = min(len(a), len(b))
+    return 0 if n < 20 else 2 if n < 300 else 3
+
+
+def near(a, b):
+    return abs(len(a) - len(b)) <= allowed(a, b) and distance(a, b) <= allowed(a, b)
+
+
 def test_distance_and_keys():
     rng = random.Random(4)
     for edits in (1, 2, 3):
-        lines = [words(rng, rng.randrange(4, 12)) for _ in range(120)]
+        bands = ((8, edits), (60, edits + 1))
+        lines = [words(rng, rng.randrange(2, 18)) for _ in range(120)]
         pairs = [(a, changed(rng, a, rng.randrange(6))) for a in lines]
-        close = [distance(a, b) <= edits for a, b in pairs]
-        assert linededup.within(pairs, edits).tolist() == close and any(close) and not all(close)
-        for (a, b), y in zip(pairs, close, strict=True):
+        bound = [edits + (min(len(a), len(b)) >= 60) for a, b in pairs]
+        close = [distance(a, b) <= e for (a, b), e in zip(pairs, bound, strict=True)]
+        assert linededup.within(pairs, bands).tolist() == close and any(close) and not all(close)
+        who, keys, own = linededup.keys_of([x for p in pairs for x in p], bands)
+        held = [(set(), set()) for _ in range(2 * len(pairs))]
+        for w, k, o in zip(who.tolist(), keys.tolist(), own.tolist(), strict=True):
+            held[w][1].add(k)
+            if o:
+                held[w][0].add(k)
+        for i, y in enumerate(close):
             if y:
-                short, long = sorted((a, b), key=len)
-                own, probes = linededup.keys_of(long, edits)
-                assert set(linededup.keys_of(short, edits)[0]) & {*own, *probes}
+                short, long = sorted((2 * i, 2 * i + 1), key=lambda k: len(pairs[i][k - 2 * i]))
+                assert held[short][0] & held[long][1]
+    alone = linededup.keys_of([lines[5]], bands)[1].tolist()
+    assert alone == [k for w, k in zip(*(x.tolist() for x in linededup.keys_of(lines, bands)[:2]), strict=True) if w == 5]
+    long = "ab" * 60_000
+    assert linededup.within([(long, "x" + long[1:-2] + "yz"), (long, long[:500] + "1234" + long[500:])]).tolist() == [True, False]
 
 
-def line_dedup(rows, edits=2, least=20):
+def line_dedup(rows):
     """Rows of (doc_id, text) -> texts that stay."""
     strip = lambda x: x.strip(common.BLANKS)
-    at = sorted({(i is None, i or 0, k, strip(x)) for i, t in rows if t for k, x in enumerate(t.split("\n")) if len(strip(x)) >= least})
+    at = sorted({(i is None, i or 0, k, strip(x)) for i, t in rows if t for k, x in enumerate(t.split("\n")) if strip(x)})
     lines = sorted({x for *_, x in at})
-    root = union(lines, [(a, b) for n, a in enumerate(lines) for b in lines[n + 1 :] if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits])
+    root = union(lines, [(a, b) for n, a in enumerate(lines) for b in lines[n + 1 :] if near(a, b)])
     first = {}
     for none, i, k, x in at:
         first.setdefault(root[x], (none, i, k))
     out = []
     for i, t in rows:
-        keep = lambda k, x: len(strip(x)) < least or first[root[strip(x)]] == (i is None, i or 0, k)  # noqa: B023, E731
+        keep = lambda k, x: not strip(x) or first[root[strip(x)]] == (i is None, i or 0, k)  # noqa: B023, E731
         out.append((i, t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if keep(k, x))))
     return out
 
 
 def test_line_dedup_against_all_pairs(spark):
     rng = random.Random(5)
-    pool = [words(rng, rng.randrange(3, 9)) for _ in range(25)]
+    pool = [words(rng, rng.randrange(3, 9)) for _ in range(25)] + [words(rng, 52)[: 296 + k] for k in range(6)]
     rows = [(1, None), (2, ""), (3, "short\nshort\n\nshort"), (4, "x" * 3000 + "\n" + "x" * 3001), (None, pool[0] + "\nlast")]
+    rows += [(i, "\n".join(words(rng, 4)[: 1 + (i + j) % 21] for j in range(4)) + "\n}\n \n}") for i in range(5, 10)]
     for i in range(10, 60):
-        rows.append((i, "\n".join(rng.choice(["  ", ""]) + changed(rng, rng.choice(pool), rng.randrange(4)) for _ in range(rng.randrange(1, 6)))))
+        rows.append((i, "\n".join(rng.choice(["  ", ""]) + changed(rng, rng.choice(pool), rng.randrange(5)) for _ in range(rng.randrange(1, 6)))))
+    for k in range(1, 24):  # equal lines of every short length, and lines one letter apart
+        rows.append((100 + k, "\n".join(["s" * k, "s" * k, "s" * (k - 1) + "t", words(rng, 5)[:k]])))
     rows.append(rows[-1])
     df = spark.createDataFrame([(i, t, "mine", len(t or "")) for i, t in rows], SCHEMA)
     got = linededup.dedup(df)
     want = line_dedup(rows)
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
     assert sum(r.n_dropped for r in got.collect()) > 20 and all(r.n_chars == len(r.text or "") for r in got.collect())
-    split = [tuple(r) for r in linededup.links(df.withColumn("x", df.fp), cell=3).collect()]
+    split = [tuple(r) for r in linededup.links(df.withColumn("x", df.fp), cell=3, most=4).collect()]
     whole = [tuple(r) for r in linededup.links(df, cell=4000).collect()]
     ids = {x for e in split + whole for x in e}
     assert union(ids, split) == union(ids, whole)
+    common_lines = linededup.dedup(df, share=10**6)  # every class and line that occurs is joined by broadcast
+    assert sorted(((r.doc_id, r.text) for r in common_lines.collect()), key=str) == sorted(want, key=str)
     assert linededup.dedup(df.limit(0)).count() == 0
 
 
+def test_runs_hand_on_a_large_key_in_parts():
+    rng = np.random.default_rng(1)
+    keys = np.sort(np.concatenate([rng.integers(0, 40, 300), np.full(500, 17)]))
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + 37]), pa.array(np.arange(len(keys))[i : i + 37])], names=["key", "line"]) for i in range(0, len(keys), 37)]
+    parts = list(linededup.runs(iter(batches), "key", "line", most=60, whole=False))
+    assert np.concatenate([x[1].to_numpy() for x in parts]).tolist() == list(range(len(keys)))
+    assert max(len(x[0]) for x in parts) < 150 and any(x[2] for x in parts)
+    assert all(set(x[0].to_pylist()) == {17} for x in parts if x[2]) and not any(17 in x[0].to_pylist() for x in parts if not x[2])
+    for whole in linededup.runs(iter(batches), "key", "line", most=60):
+        held = set(whole[0].to_pylist())
+        assert all((keys == k).sum() == whole[0].to_pylist().count(k) for k in held)
+
+
 def test_crowded_key_connects_the_same_lines():
     rng = random.Random(6)
     base = words(rng, 8)
     lines = sorted({changed(rng, base, rng.randrange(5)) for _ in range(150)})
-    v = linededup.Verifier(2)
+    v = linededup.Verifier()
     v.run(np.arange(len(lines)), lines)
     v.flush()
     n = range(len(lines))
@@ -180,17 +219,18 @@ def test_every_link_is_counted_once(spark):
     rng = random.Random(7)
     base = [words(rng, 8), words(rng, 9)]
     lines = sorted({b[:30] + changed(rng, b[30:], rng.randrange(4)) for b in base for _ in range(110)} | {words(rng, 6) for _ in range(10)})
-    close = [(a, b) for n, a in enumerate(lines) for b in lines[n + 1 :] if abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2]
+    close = [(a, b) for n, a in enumerate(lines) for b in lines[n + 1 :] if near(a, b)]
     root, held = union(lines, close), Counter(x for e in close for x in e)
-    members = Counter(k for x in lines for k in {*linededup.keys_of(x)[0], *linededup.keys_of(x)[1]})
-    assert max(members.values()) > 64
+    who, keys, _ = linededup.keys_of(lines)
+    assert max(Counter(k for _, k in set(zip(who.tolist(), keys.tolist(), strict=True))).values()) > 64
     rows = [(i, "\n".join([*lines[i::40], "short", lines[i % 7]]), "x", 0) for i in range(40)] + [(50, None, "x", 0), (51, "short", "x", 0)]
     df = spark.createDataFrame(rows, SCHEMA)
+    root["short"] = "short"
     for cell in (30, 4000):
         names = {}
         for r in linededup.dedup(df, cell=cell).collect():
-            text = (rows[r.doc_id][1] if r.doc_id < 40 else "").split("\n")
-            assert [x.place for x in r.line_links] == [k for k, x in enumerate(text) if len(x) >= 20]
+            text = (rows[r.doc_id][1] if r.doc_id < 40 else "short" if r.doc_id == 51 else "").split("\n")
+            assert [x.place for x in r.line_links] == [k for k, x in enumerate(text) if x]
             for x in r.line_links:
                 assert x.n_links == held[text[x.place]]
                 assert names.setdefault(root[text[x.place]], x.class_id) == x.class_id
