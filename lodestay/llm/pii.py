@@ -1,20 +1,24 @@
-"""Personal data: patterns, then a skip-chain conditional random field that carries their labels to similar tokens.
-
-The patterns (email, ip, card, phone) give the base spans, which always stay. Tokens with a digit or an @ are the field's
-nodes. Neighbours in the text share a chain potential; tokens that are equal up to punctuation and country code share a skip
-potential, however far apart, each linked to the next of its kind. Nodes under a base span are held at its label; loopy
-sum-product messages spread the labels, and a free node whose label is sure enough becomes an added span. Only documents
-with a free node that shares its form with a held one can gain spans, so a document without base spans stays as it is.
-
-Potentials are piecewise maximum-likelihood estimates: counts of shapes, neighbours and equal forms by label over every
-document, summed by Spark; they are a table of fixed size. Null text counts as empty; repeated rows get equal spans; other
-columns are left out; an empty table gives no rows. No row moves between tasks.
+"""Personal data: patterns, then a skip-chain conditional random field that finds what they miss.
+
+The patterns (email, ip, card, phone) give the base spans, which always stay. Nodes of the field are the base spans and
+candidates: written-out or defanged addresses, numbers in groups without a country code, long numbers that fail their check.
+Each has a kind that it may be, and a shape from which what makes a pattern match (the plus and country code, the check
+digit, the @ or the full stops) is masked. So counts of shapes, with or without a cue word before, say how often such a
+token is personal data where the patterns can tell, and that carries over to candidates of the same shape. Nodes that
+follow one another closely share a chain potential; similar nodes (the same address or local part, the same last seven
+digits, one digit changed) share a skip potential, however far apart, each linked to the last with that trait. Base spans
+are held at their label; loopy sum-product messages run over every document with a candidate, and a candidate that is sure
+enough becomes an added span.
+
+Potentials are piecewise maximum-likelihood estimates: counts over every document, summed by Spark; shapes are bounded, so
+they are a table of bounded size. A text with more nodes than WINDOW is inferred stretch by stretch, links back into an
+earlier stretch being messages from its beliefs, so memory per text stays bounded beside the text and its nodes. Candidates
+that overlap a base span or an earlier candidate are left out; of equal starts the first kind listed wins. Null text counts
+as empty; repeated rows get equal spans; other columns are left out; an empty table gives no rows. No row moves between tasks.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -28,16 +32,30 @@ from pyspark.sql import types as T
 from lodestay.llm.common import documents, slices
 
 KINDS = ("email", "ip", "card", "phone")
-SURE, STEPS = 0.9, 12
+LABELS = len(KINDS) + 1  # 0: none
+SURE, STEPS, WINDOW = 0.9, 12, 4096
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 MARK = re.compile(r"[0-9@]")
-BLANK = re.compile(r"[\x20\x09-\x0D]")
-EDGES = ".,;:!?\"'()[]{}<>|*#$%&="
 DIGITS = re.compile(r"[^0-9]+")
+#: What may stand for an @ or a full stop in a written-out address.
+AT = re.compile(r"@| ?[(\[{] ?(?:at|AT) ?[)\]}] ?| (?:at|AT) ")
+BRACKETED = re.compile(r"[(\[{] ?(?:at|AT) ?[)\]}] ?")
+RUN = re.compile(r"[0-9]+")
+DOT = r"(?:\.| ?[(\[{] ?(?:\.|dot|DOT) ?[)\]}] ?| (?:dot|DOT) )"
+WRITTEN = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}}){{1,8}}")
+#: Candidates by kind, among digits.
+NUMERIC = {
+    "ip": re.compile(r"(?<![0-9.-])[0-9]{1,3}(?:(?:-|" + DOT[3:-1].replace(r"\.|", "", 1) + r")[0-9]{1,3}){3}(?![0-9-])"),
+    "card": re.compile(r"(?<![0-9])(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9])"),
+    "phone": re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]{1,2}[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])|(?<![0-9.])[0-9]{7,12}(?![0-9.])"),
+}
+#: Words that announce each kind.
+CUES = {"email": ("mail", "email", "write", "contact"), "ip": ("ip", "host", "server", "address"), "card": ("card", "visa", "pay"), "phone": ("tel", "phone", "telephone", "call", "fax", "mobile", "ring")}
+WORD = re.compile(r"[A-Za-z]+")
 
 
 def luhn(digits: str) -> bool:
@@ -96,108 +114,177 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
     return [emails(text), addresses(text), cards, phones]
 
 
-def tokens(text: str) -> list[tuple[int, int]]:
-    """Tokens between blanks that hold a digit or an @, without punctuation at their ends."""
-    out, at = [], 0
-    flat = BLANK.sub(" ", text)
-    while m := MARK.search(flat, at):
-        start = flat.rfind(" ", at, m.start()) + 1 or at
-        end = flat.find(" ", m.start())
-        at = end = len(flat) if end < 0 else end
-        core = flat[start:end].strip(EDGES)
-        start = flat.index(core, start) if core else start
-        if core:
-            out.append((start, start + len(core)))
+def ats(text: str) -> list[tuple[int, int]]:
+    """Where an @ is, or what may stand for it."""
+    out = []
+    for mark in ("@", " at ", " AT "):
+        at = text.find(mark)
+        while at >= 0:
+            out.append((at, at + len(mark)))
+            at = text.find(mark, at + 1)
+    if "at" in text or "AT" in text:
+        out += [(m.start() - (text[m.start() - 1 : m.start()] == " "), m.end()) for m in BRACKETED.finditer(text)]
+    return sorted(out)
+
+
+def written(text: str) -> list[tuple[int, int]]:
+    """Addresses with something in place of the @ or of full stops."""
+    out = []
+    for at, end in ats(text):
+        start = at
+        while start > max(0, at - 64) and text[start - 1] in LOCAL:
+            start -= 1
+        if start == at or not (d := WRITTEN.match(text, end)):
+            continue
+        plain = text[at] == " " and text[at + 1] in "aA" and text[start:at].isalpha() and not re.search("dot|DOT|[(\\[{]", d.group())
+        if not plain:  # "look at example.com" is prose
+            out.append((start, d.end()))
     return out
 
 
-def form(token: str) -> str | None:
-    """Equal for similar tokens: the last ten digits of a long number, or the lower-cased address; None: links to none."""
-    if "@" in token:
-        return token.lower()
-    digits = DIGITS.sub("", token)
-    return digits[-10:] if len(digits) >= 6 else None
-
-
-def shape(token: str) -> str:
-    n = len(DIGITS.sub("", token))
-    return f"{min(n, 20)}" + "".join(c for c in "@.-+(" if c in token) + "a" * any(c.isalpha() for c in token)
-
-
-def labelled(text: str, spans: list[list[tuple[int, int]]]) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """The nodes and their base labels, 0 where there is none."""
-    nodes = tokens(text)
-    labels = np.zeros(len(nodes), np.int64)
-    if nodes and any(spans):
-        starts = np.array([a for a, _ in nodes])
-        ends = np.array([b for _, b in nodes])
-        for kind, found in enumerate(spans, 1):
-            for a, b in found:
-                labels[np.searchsorted(ends, a, "right") : np.searchsorted(starts, b, "left")] = kind
-    return nodes, labels
+def stretches(text: str) -> list[tuple[int, int]]:
+    """Where digits are, with what may belong to their number."""
+    out: list[tuple[int, int]] = []
+    for m in RUN.finditer(text):
+        if out and m.start() - out[-1][1] <= 8:
+            out[-1] = (out[-1][0], m.end())
+        else:
+            out.append((max(0, m.start() - 2), m.end()))
+    return out
 
 
-def edges(text: str, nodes: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain: nodes with one blank stretch of three code points at most between them. Skip: each node and the next of its form."""
-    chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1][0] - nodes[i][1] <= 3]
+def nodes_of(text: str, spans: list[list[tuple[int, int]]]) -> list[tuple[int, int, int, bool]]:
+    """(start, end, kind from 1, whether a base span) in text order, none overlapping a base span of its own or another kind
+    but base spans themselves."""
+    base = sorted((a, b, k, True) for k, found in enumerate(spans, 1) for a, b in found)
+    free = []
+    free += [(a, b, 1, False) for a, b in written(text)]
+    for begin, end in stretches(text):
+        if end - begin >= 7:
+            for kind, pattern in NUMERIC.items():
+                found = (m for m in pattern.finditer(text, begin, end) if kind != "ip" or all(int(x) <= 255 for x in RUN.findall(m.group())))
+                free += [(*m.span(), KINDS.index(kind) + 1, False) for m in found]
+    free.sort(key=lambda x: (x[0], x[2]))
+    ends = np.maximum.accumulate([b for _, b, _, _ in base]) if base else np.zeros(0)
+    starts = [a for a, _, _, _ in base]
+    out, last = [], 0
+    for x in free:
+        at = int(np.searchsorted(ends, x[0], "right"))  # the first base span that ends after the candidate's start
+        if x[0] >= last and (at == len(base) or starts[at] >= x[1]):
+            out.append(x)
+            last = x[1]
+    return sorted(base + out)
+
+
+def core(token: str, kind: int) -> str:
+    """An address in lower case, the digits of a number; equal for tokens that mean the same."""
+    if kind != 1:
+        return DIGITS.sub("", token)
+    local, _, domain = AT.sub("@", token.lower(), count=1).partition("@")
+    return f"{local}@{re.sub(DOT, '.', domain)}"
+
+
+def shape(token: str, kind: int) -> str:
+    """How a token is built, without what only a matching pattern has."""
+    if kind == 1:
+        local, _, domain = core(token, 1).partition("@")
+        return "email " + "".join(c for c in "._%+-9" if c in re.sub("[0-9]", "9", local)) + f" {min(domain.count('.'), 4)} " + domain.rpartition(".")[2][:8]
+    if kind == 2:
+        return "ip -" if "-" in token else "ip"
+    groups = [str(min(len(g), 20)) for g in RUN.findall(token)]
+    if token.startswith("+") and len(groups) > 1:
+        groups = groups[1:]
+    return f"{KINDS[kind - 1]} {'-'.join(groups[:8])}"
+
+
+def cue(text: str, start: int, kind: int) -> bool:
+    """Whether one of the last words in 24 code points before announces the kind."""
+    mine = CUES[KINDS[kind - 1]]
+    return any(w.lower() in mine for w in WORD.findall(text[max(0, start - 24) : start]))
+
+
+def traits(token: str, kind: int) -> list[str]:
+    """Nodes that share one are similar."""
+    c = core(token, kind)
+    if kind == 1:
+        return [c, c.partition("@")[0] + "@"]
+    if kind == 2:
+        return ["ip" + ".".join(RUN.findall(token))]
+    if len(c) < 7:
+        return []
+    return [c[-7:], *(f"{c[:i]}?{c[i + 1 :]}" for i in range(len(c) if len(c) >= 10 else 0))]
+
+
+def described(text: str, nodes: list[tuple[int, int, int, bool]]) -> tuple[list[str], list[tuple[int, int]], list[tuple[int, int]]]:
+    """Of each node the key of its unary potential; chain links (40 code points apart at most); skip links, earlier node first."""
+    passed = [k == 3 and not held and luhn(core(text[a:b], k)) for a, b, k, held in nodes]  # only a neighbour spoilt the match
+    keys = [shape(text[a:b], k) + " cue" * cue(text, a, k) + " ok" * y for (a, b, k, _), y in zip(nodes, passed, strict=True)]
+    chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1][0] - nodes[i][1] <= 40]
     last: dict[str, int] = {}
     skip = []
-    for i, (a, b) in enumerate(nodes):
-        if (f := form(text[a:b])) is not None:
-            if f in last:
-                skip.append((last[f], i))
-            last[f] = i
-    return chain, skip
+    for i, (a, b, k, _) in enumerate(nodes):
+        mine = traits(text[a:b], k)
+        skip += [(j, i) for j in sorted({last[t] for t in mine if t in last})]
+        last.update(dict.fromkeys(mine, i))
+    return keys, chain, skip
 
 
 def count(text: str, counts: Counter) -> None:
     """Adds a document's (piece, key, label, other label) to counts."""
-    nodes, labels = labelled(text, base_spans(text))
+    nodes = nodes_of(text, base_spans(text))
     if not nodes:
         return
-    for (a, b), y in zip(nodes, labels.tolist(), strict=True):
-        counts["node", shape(text[a:b]), y, 0] += 1
-    chain, skip = edges(text, nodes)
+    keys, chain, skip = described(text, nodes)
+    labels = [k if held else 0 for _, _, k, held in nodes]
+    for key, y in zip(keys, labels, strict=True):
+        # a shape counts with and without its cue; a held card also as one that passes its check, while free ones that pass
+        # it were only spoilt by a neighbour, so they say nothing
+        for k in {key, key.replace(" cue", "")} if not key.endswith(" ok") else ():
+            counts["node", k, y, 0] += 1
+            if y == 3:
+                counts["node", k + " ok", y, 0] += 1
     for name, pairs in (("chain", chain), ("skip", skip)):
         for i, j in pairs:
-            counts[name, "", int(labels[i]), int(labels[j])] += 1
+            counts[name, "", labels[i], labels[j]] += 1
 
 
 class Field:
     """Potentials from counts, and inference in one document."""
 
     def __init__(self, rows: list[tuple[str, str, int, int, int]]):
-        k = len(KINDS) + 1
-        self.unary: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(k))
-        by_shape: dict[str, np.ndarray] = defaultdict(lambda: np.full(k, 0.5))
-        pairs = {"chain": np.full((k, k), 0.5), "skip": np.full((k, k), 0.5)}
+        self.share: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(2))  # of a key: nodes without a label, and with one
+        pairs = {"chain": np.full((LABELS, LABELS), 0.5), "skip": np.full((LABELS, LABELS), 0.5)}
         for piece, key, y, z, n in rows:
             if piece == "node":
-                by_shape[key][y] += n
+                self.share[key][int(y > 0)] += n
             else:
                 pairs[piece][y, z] += n
-        self.unary |= {s: np.log(c / c.sum()) for s, c in by_shape.items()}
-        # how much more often two labels meet than their shares say
-        self.pair = {p: np.log(c / c.sum()) - np.log(c.sum(1, keepdims=True) / c.sum()) - np.log(c.sum(0, keepdims=True) / c.sum()) for p, c in pairs.items()}
-        # similar tokens differ in label only where a pattern failed on one of them, which counts can't tell; so a skip
-        # potential rewards agreement at least as much as chance would
-        same = np.eye(k, dtype=bool)
-        self.pair["skip"] = np.where(same, np.maximum(self.pair["skip"], math.log(k)), np.minimum(self.pair["skip"], -math.log(k)))
-
-    def beliefs(self, shapes: list[str], held: np.ndarray, chain: list, skip: list) -> np.ndarray:
-        """Marginals of each node's label by loopy belief propagation; held: the label of each node, or -1."""
-        n, k = len(shapes), len(KINDS) + 1
-        local = np.array([self.unary.get(s, np.zeros(k)) for s in shapes])
-        fixed = held >= 0
-        local[fixed] = -50.0
-        local[fixed, held[fixed]] = 0.0
+        # how much more often two labels meet than their shares say; chains say little about it, so they are held to a factor of 1.5
+        pair = {p: np.log(c / c.sum()) - np.log(c.sum(1, keepdims=True) / c.sum()) - np.log(c.sum(0, keepdims=True) / c.sum()) for p, c in pairs.items()}
+        self.chain = np.clip(pair["chain"], -np.log(1.5), np.log(1.5))
+        # similar nodes differ in label only where a pattern failed on one of them, which counts can't tell; so two equal
+        # ones count for at least `floor`, and unequal ones against it; nodes that are similar but unsure don't lift each other
+        same = np.eye(LABELS, dtype=bool)
+        floor = 2 * np.log(LABELS)
+        self.skip = np.where(same, np.maximum(pair["skip"], floor), np.minimum(pair["skip"], -floor))
+
+    def unary(self, key: str, kind: int) -> np.ndarray:
+        """Log potentials: none, or the kind that the node may be. A shape that was never seen has one chance in ten."""
+        free, held = self.share.get(key, self.share.get(key.replace(" cue", ""), (0, 0)))
+        out = np.full(LABELS, -50.0)
+        out[0], out[kind] = np.log(free + 4.5), np.log(held + 0.5)
+        return out
+
+    def beliefs(self, local: np.ndarray, chain: list[tuple[int, int]], skip: list[tuple[int, int]]) -> np.ndarray:
+        """Marginals of each node's label by loopy belief propagation."""
         pairs = np.array([*chain, *skip], np.int64).reshape(-1, 2)
-        table = np.array([*[self.pair["chain"]] * len(chain), *[self.pair["skip"]] * len(skip)]).reshape(-1, k, k)
+        which = np.repeat([0, 1], [len(chain), len(skip)])
+        tables = np.stack([self.chain, self.skip])
         src, dst = np.concatenate((pairs[:, 0], pairs[:, 1])), np.concatenate((pairs[:, 1], pairs[:, 0]))
-        table = np.concatenate((table, table.transpose(0, 2, 1)))  # [edge, label of src, label of dst]
+        table = np.concatenate((tables[which], tables.transpose(0, 2, 1)[which]))  # [link, label of src, label of dst]
         back = np.concatenate((np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))))
-        messages = np.zeros((len(src), k))
-        for _ in range(STEPS):
+        messages = np.zeros((len(src), LABELS))
+        for _ in range(STEPS if len(pairs) else 0):
             total = local.copy()
             np.add.at(total, dst, messages)
             sent = (total[src] - messages[back])[:, :, None] + table
@@ -213,51 +300,60 @@ class Field:
         p = np.exp(total - total.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
+    def marginals(self, text: str, nodes: list[tuple[int, int, int, bool]], window: int = WINDOW) -> np.ndarray:
+        """Beliefs of all nodes, stretch by stretch."""
+        keys, chain, skip = described(text, nodes)
+        local = np.array([self.unary(key, k) for key, (_, _, k, _) in zip(keys, nodes, strict=True)])
+        for i, (_, _, k, held) in enumerate(nodes):
+            if held:
+                local[i] = -50.0
+                local[i, k] = 0.0
+        out = np.zeros_like(local)
+        ahead = {"chain": 0, "skip": 0}
+        for begin in range(0, len(nodes), window):
+            end = min(len(nodes), begin + window)
+            mine: dict[str, list[tuple[int, int]]] = {"chain": [], "skip": []}
+            for name, links, table in (("chain", chain, self.chain), ("skip", skip, self.skip)):
+                at = ahead[name]
+                while at < len(links) and links[at][1] < end:
+                    i, j = links[at]
+                    if i >= begin:
+                        mine[name].append((i - begin, j - begin))
+                    else:  # the other end is settled
+                        local[j] += np.log(out[i] @ np.exp(table))
+                    at += 1
+                ahead[name] = at
+            out[begin:end] = self.beliefs(local[begin:end], mine["chain"], mine["skip"])
+        return out
+
     def added(self, text: str, spans: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
         out: list[list[tuple[int, int]]] = [[] for _ in KINDS]
-        if not any(spans):
+        nodes = nodes_of(text, spans)
+        if all(held for *_, held in nodes):
             return out
-        nodes, labels = labelled(text, spans)
-        if labels.all():
-            return out
-        forms = [form(text[a:b]) for a, b in nodes]
-        known = {f for f, y in zip(forms, labels.tolist(), strict=True) if y and f}
-        if not any(f in known for f, y in zip(forms, labels.tolist(), strict=True) if not y and f):
-            return out
-        chain, skip = edges(text, nodes)
-        p = self.beliefs([shape(text[a:b]) for a, b in nodes], np.where(labels > 0, labels, -1), chain, skip)
-        best = p.argmax(axis=1)
-        linked = set(chain)
-        reached = [y == 0 and f in known for f, y in zip(forms, labels.tolist(), strict=True)]
-        for i, (a, b) in enumerate(nodes):
-            if labels[i] or not best[i] or p[i, best[i]] < SURE:
-                continue
-            near = any(reached[j] and best[j] == best[i] and (min(i, j), max(i, j)) in linked for j in (i - 1, i + 1) if 0 <= j < len(nodes))
-            if not reached[i] and not near:
-                continue
-            found = out[best[i] - 1]
-            if found and found[-1][1] == nodes[i - 1][1] and (i - 1, i) in linked and labels[i - 1] == 0:
-                found[-1] = (found[-1][0], b)
-            else:
-                found.append((a, b))
+        p = self.marginals(text, nodes)
+        for (a, b, k, held), mine in zip(nodes, p, strict=True):
+            if not held and mine[k] >= SURE:
+                out[k - 1].append((a, b))
         return out
 
 
 def fit(docs: DataFrame, text: str = "text") -> list[tuple[str, str, int, int, int]]:
-    """The field's counts over every document: a few thousand rows at most, whatever the input (shapes are bounded)."""
+    """The field's counts over every document. Shapes are bounded, those of a kind seen fewer than three times are dropped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                if t and MARK.search(t):
+                if t:
                     count(t, counts)
         rows = [(*k, n) for k, n in counts.items()]
         yield pa.RecordBatch.from_pylist([dict(zip(("piece", "key", "y", "z", "n"), r, strict=True)) for r in rows], schema=schema)
 
     schema = pa.schema([("piece", pa.string()), ("key", pa.string()), ("y", pa.int64()), ("z", pa.int64()), ("n", pa.int64())])
     found = docs.select(text).mapInArrow(run, "piece string, key string, y long, z long, n long")
-    return [tuple(r) for r in found.groupBy("piece", "key", "y", "z").agg(F.sum("n").alias("n")).orderBy("piece", "key", "y", "z").collect()]
+    summed = found.groupBy("piece", "key", "y", "z").agg(F.sum("n").alias("n")).where("piece <> 'node' OR n > 2")
+    return [tuple(r) for r in summed.orderBy("piece", "key", "y", "z").collect()]
 
 
 def listed(spans: list[list[tuple[int, int]]]) -> str:
@@ -265,10 +361,10 @@ def listed(spans: list[list[tuple[int, int]]]) -> str:
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs (doc_id, text) -> doc_id, n_email, n_ip, n_card, n_phone, base (spans, listed), spans (all, listed), n_added."""
+    """docs (doc_id, text) -> doc_id, n_email, n_ip, n_card, n_phone, base (spans, listed), spans (all, listed), n_added, n_spans."""
     rows = fit(docs, text)
-    names = [*[f"n_{k}" for k in KINDS], "base", "spans", "n_added"]
-    kinds = [T.LongType()] * 4 + [T.StringType()] * 2 + [T.LongType()]
+    names = [*[f"n_{k}" for k in KINDS], "base", "spans", "n_added", "n_spans"]
+    kinds = [T.LongType()] * 4 + [T.StringType()] * 2 + [T.LongType()] * 2
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *[T.StructField(n, t) for n, t in zip(names, kinds, strict=True)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,8 +375,8 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
                 spans = base_spans(t or "")
                 more = field.added(t or "", spans)
                 both = [sorted(a + b) for a, b in zip(spans, more, strict=True)]
-                found.append((*map(len, spans), listed(spans), listed(both), sum(map(len, more))))
-            columns = [pa.array(x, t) for x, t in zip(zip(*found, strict=True), [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()], strict=True)]
+                found.append((*map(len, spans), listed(spans), listed(both), sum(map(len, more)), sum(map(len, both))))
+            columns = [pa.array(x, t) for x, t in zip(zip(*found, strict=True), [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] * 2, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=schema.names)
 
     return docs.select("doc_id", text).mapInArrow(run, schema)
@@ -299,8 +395,4 @@ def redact(text: str, spans: str) -> str:
 
 def op1_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(documents(spark, sf_dir))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
-
-
-def sha256(base: str) -> str:
-    return hashlib.sha256(base.encode()).hexdigest()
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added", "n_spans")

@@ -1,6 +1,7 @@
 """Personal data, media, token counts, packing and the language model against brute force and round trips."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -44,15 +45,73 @@ def test_base_spans_match_the_patterns():
 
 
 def test_field_carries_labels_to_similar_tokens(spark):
-    linked = "call +1 (017) 555-7713 today\n" + "word " * 50 + "or (017) 555-7713, and x4111111111111111 after 4111111111111111"
-    texts = [linked, "numbers 5551234567 and 300.1.2.3 alone", *["ring +1 (222) 333-4444 now"] * 20, *["see 2024 or 17"] * 20]
+    linked = "ring +1 (222) 333-4444 today\n" + "word " * 50 + "or 2223334444, 4111111111111111 " + "word " * 9 + "4111111111111171 and 9999999999999999"
+    texts = [linked, "numbers 5551234567 and 300.1.2.3 alone, 2024-01-15 to 2025-01-15", *[f"ring +1 ({100 + i}) 555-{1000 + i} or 4111 1111 1111 1111 or {'9' * 15}{i % 9} now" for i in range(40)], *["see 2024 or 17"] * 20, "at (100) 555-2222", "look at example.com"]
     got = {r.doc_id: r for r in pii.find(docs(spark, texts)).collect() if r.doc_id is not None}
-    assert got[0].n_phone == 1 and got[0].n_added >= 1
     assert set(got[0].base.split(",")) <= set(got[0].spans.split(","))
-    assert got[1].n_added == 0 and got[1].spans == ""
-    phones = [s.split(":") for s in got[0].spans.split(",") if s.startswith("phone")]
-    assert any("555-7713" in linked[int(a) : int(b)] and int(a) > 60 for _, a, b in phones)
-    assert "<phone>" in pii.redact(linked, got[0].spans) and "555-7713" not in pii.redact(linked, got[0].spans)
+    found = lambda i: {(k, texts[i][int(a) : int(b)]) for k, a, b in (x.split(":") for x in got[i].spans.split(",") if x)}
+    assert found(0) == {("phone", "+1 (222) 333-4444"), ("phone", "2223334444"), ("card", "4111111111111111"), ("card", "4111111111111171")}
+    assert found(len(texts) - 2) == {("phone", "(100) 555-2222")} and got[len(texts) - 2].n_phone == 0
+    assert all(got[i].n_added == 0 and got[i].spans == "" for i in (1, len(texts) - 1))
+    assert "<phone>" in pii.redact(linked, got[0].spans) and "222" not in pii.redact(linked, got[0].spans)
+
+
+def masked(rng, kind, token):
+    """The token as someone would write it to get past a pattern."""
+    if kind == "email":
+        return rng.choice([token.replace("@", " [at] "), token.replace("@", "(at)").replace(".com", "(dot)com"), token.replace("@", " at ")])
+    if kind == "ip":
+        return rng.choice([token.replace(".", "[.]"), token.replace(".", " (dot) ", 1).replace(".", "[.]")])
+    return token[token.index("(") :] if kind == "phone" else " ".join([token, "77"])
+
+
+def test_masked_spans_are_recovered(spark):
+    rng = random.Random(11)
+    texts, want = [], []
+    for i in range(1600):
+        ws, mine = [], set()
+        for _ in range(3):
+            ws += [rng.choice(["lorem", "ipsum", "dolor"]) for _ in range(12)]
+            kind = rng.choice(pii.KINDS)
+            token = {"email": f"{rng.choice(['ana', 'bo.li'])}.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com", "ip": ".".join(str(rng.randrange(10, 250)) for _ in range(4)), "card": "411111111111111", "phone": f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"}[kind]
+            if kind == "card":
+                token = "4" + f"{rng.randrange(10**14):014d}"
+                token += next(str(c) for c in range(10) if pii.luhn(token + str(c)))
+            if i % 16 == 0:
+                shown = masked(rng, kind, token)
+                mine.add((kind, token if kind == "card" else shown))
+                token = shown
+            ws.append(token)
+        ws.append("lorem 2000000000000000" if i % 3 else "lorem 12-2024")
+        texts.append(" ".join(ws))
+        want.append(mine)
+    rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    caught = missed = wrong = 0
+    for i, mine in enumerate(want):
+        base = set(rows[i].base.split(","))
+        got = {(k, texts[i][int(a) : int(b)]) for k, a, b in (x.split(":") for x in rows[i].spans.split(",") if x and x not in base)}
+        caught, missed, wrong = caught + len(got & mine), missed + len(mine - got), wrong + len(got - mine)
+    assert caught >= 0.9 * (caught + missed) and wrong <= 0.02 * caught and caught > 200
+
+
+def test_field_agrees_with_all_labellings():
+    rows = [("node", "phone 3-3-4", 4, 0, 30), ("node", "phone 10", 0, 0, 9), ("node", "card 16", 3, 0, 8), ("node", "card 16", 0, 0, 6), ("skip", "", 4, 4, 9), ("skip", "", 3, 3, 5), ("skip", "", 0, 0, 7), ("chain", "", 0, 4, 3)]
+    field = pii.Field(rows)
+    text = "+1 (222) 333-4444 x 2223334444 y 4111111111111112 z 4111111111111113 " + "w " * 30 + "2223334445"
+    nodes = pii.nodes_of(text, pii.base_spans(text))
+    keys, chain, skip = pii.described(text, nodes)
+    assert len(nodes) == 5 and len(skip) >= 3
+    local = np.array([field.unary(key, k) for key, (_, _, k, _) in zip(keys, nodes, strict=True)])
+    local[0] = [-50.0] * 4 + [0.0]
+    exact = np.zeros((len(nodes), pii.LABELS))
+    for labels in itertools.product(range(pii.LABELS), repeat=len(nodes)):
+        total = sum(local[i, y] for i, y in enumerate(labels)) + sum(field.chain[labels[i], labels[j]] for i, j in chain) + sum(field.skip[labels[i], labels[j]] for i, j in skip)
+        for i, y in enumerate(labels):
+            exact[i, y] += math.exp(total)
+    exact /= exact.sum(axis=1, keepdims=True)
+    assert np.abs(field.marginals(text, nodes) - exact).max() < 0.1  # links make a loop, so messages are near, not equal
+    many = " ".join(["+1 (222) 333-4444 2223334444"] * 9000)
+    assert len(field.added(many, pii.base_spans(many))[3]) == 9000
 
 
 def test_personal_data_rows(spark):
