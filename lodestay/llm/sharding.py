@@ -5,6 +5,10 @@ permutation) and shuffles them with a generator seeded by the bucket. Whole reco
 through both passes, and takes size and checksum from the records that were written. A row's rank is its bucket's offset plus its place, so
 dealing ranks round-robin gives shards whose counts differ by one at most (law `rows`).
 
+Rows that are equal in their keys would share a bucket, so those with more bytes than a bucket are first counted by a hash of
+their keys and dealt over several by row number: they are interchangeable. The row number is the same again only if the rows
+are, so rows should come from a stored table. A task of the second pass holds one bucket, or one row that is larger.
+
 Null texts count 8 bytes and checksum 0; equal rows are interchangeable; an empty table gives no rows; other columns pass
 through, and columns added here replace those of the same name.
 """
@@ -24,6 +28,7 @@ from lodestay.llm.common import documents, materialize
 SHARDS = 24
 #: A bucket holds about so many bytes of records; it is what one task of the second pass keeps in memory.
 BUCKET_BYTES = 16 << 20
+MOST_HOT = 1 << 20  # groups of equal rows that are dealt over several buckets: the table of them is broadcast
 ADDED = ("bucket", "place", "shard", "slot")
 
 
@@ -37,10 +42,17 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
 def external_shuffle(rows: DataFrame, keys: list[str], size: str | Column, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """rows with bucket and place: a uniform random order is bucket, then place. keys tell rows apart; size is in bytes."""
     rows = rows.drop(*[c for c in rows.columns if c in ADDED])
+    size = F.col(size) if isinstance(size, str) else size
     total = rows.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    hashed = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(buckets)).cast("int")
-    scattered = rows.withColumn("bucket", hashed)
+    rows = rows.withColumn("__key", F.xxhash64(F.lit(seed), *keys))
+    # a bound on the bytes of a group of equal rows that no more than MOST_HOT groups can exceed
+    bound = max(bucket_bytes, total / MOST_HOT)
+    hot = rows.groupBy("__key").agg(F.sum(size).alias("held")).where(F.col("held") > bound)
+    hot = hot.select(F.col("__key").alias("__hot"), F.ceil(F.col("held") / bound * 2).alias("__parts"))
+    rows = rows.withColumn("__nth", F.monotonically_increasing_id()).join(F.broadcast(hot), F.col("__key") == F.col("__hot"), "left")
+    apart = F.when(F.col("__parts").isNotNull(), F.xxhash64("__key", F.pmod(F.xxhash64("__nth"), F.col("__parts")))).otherwise(F.col("__key"))
+    scattered = rows.withColumn("bucket", F.pmod(apart, F.lit(buckets)).cast("int")).drop("__key", "__nth", "__hot", "__parts")
 
     def shuffled(table: pa.Table) -> pa.Table:
         table = table.sort_by([(k, "ascending") for k in keys])
@@ -67,9 +79,9 @@ def ranked(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
     return out.drop("__b", "__offset", "__rank")
 
 
-def write_shards(rows: DataFrame, keys: list[str], size: str | Column, path: str, shards: int = SHARDS, seed: int = 7) -> None:
+def write_shards(rows: DataFrame, keys: list[str], size: str | Column, path: str, shards: int = SHARDS, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> None:
     """Write the shuffled rows, one folder a shard, files in slot order. Buckets stay apart, so a shard may have many files."""
-    out = shard(rows, keys, size, shards, seed)
+    out = shard(rows, keys, size, shards, seed, bucket_bytes)
     out.sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import functions as F
 
 from lodestay.llm import common, linededup, sharding, simhash
 
@@ -268,3 +269,22 @@ def test_whole_records_are_shuffled_and_written(spark, tmp_path, monkeypatch):
     sharding.write_shards(docs, ["doc_id", "text"], sharding.record_bytes(), f"{tmp_path}/out")
     back = spark.read.parquet(f"{tmp_path}/out").collect()
     assert Counter((r.doc_id, r.text) for r in back) == Counter((i, t) for i, t, *_ in rows) and len({r.shard for r in back}) == 24
+
+
+def test_many_equal_rows_are_dealt_over_buckets(spark):
+    rows = [(7, "e" * 2000, "x", 0)] * 3000 + [(i, f"{i} " * 20, "x", 0) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3).select("doc_id", "text")
+    got = sharding.external_shuffle(df, ["doc_id", "text"], sharding.record_bytes(), bucket_bytes=1 << 18).groupBy("bucket").agg({"text": "count"}).collect()
+    held = [r[1] for r in got]
+    assert sum(held) == len(rows) and max(held) < 5 * (1 << 18) / 2008 and len(held) > 12
+
+
+def test_shards_are_written(spark, tmp_path):
+    rows = [(i if i % 7 else None, "tä" * (i % 50), "x", 0) for i in range(400)] + [(3, None, "x", 0)] * 20
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("slot", F.lit("mine"))
+    sharding.write_shards(df, ["doc_id", "text"], sharding.record_bytes(), f"{tmp_path}/out", bucket_bytes=4000)
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t) for i, t, *_ in rows)
+    held = Counter(r.shard for r in got)
+    assert set(held) == set(range(24)) and max(held.values()) - min(held.values()) <= 1
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in held.items())
