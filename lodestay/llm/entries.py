@@ -13,7 +13,8 @@ QUERIES = {
     "op6_maxent": maxent.op6_maxent,
     "op7_simhash": simhash.op7_simhash,
     "op8_quality_rules": quality.op8_quality_rules,
+    "quality_ablations": quality.quality_ablations,
     "op9_token_counts": tokencount.op9_token_counts,
     "op10_karmarkar_karp": packing.op10_karmarkar_karp,
 }
-ORACLE_SQL = {"op5_mix_sources": mixing.OP5_SQL, "op8_quality_rules": quality.OP8_SQL}
+ORACLE_SQL = {"op5_mix_sources": mixing.OP5_SQL, "op8_quality_rules": quality.OP8_SQL, "quality_ablations": quality.ABLATIONS_SQL}

@@ -1,7 +1,9 @@
 """Rule bitmask ledger: every rule is evaluated once per document; policies and ablations only read the stored bits.
 
-DataFrame functions only. Null or blank text has no words and fails the base rules; repeated rows are judged alike, in
-place; other columns pass through, and a ledger column replaces one of the same name. No row moves between tasks.
+DataFrame functions only. Null or blank text has no words and fails the base rules and every policy; repeated rows are judged alike, in
+place; a measurement that equals a rule's bound passes; an empty table gives no rows; a text of any length is measured whole,
+in arrays of its words; other columns pass through, and a ledger column replaces one of the same name. Nothing is dropped for
+its length alone but texts of fewer than 50 words (base, v1, strict) or none (v2). No row moves between tasks; ablations move a row a bit pattern.
 """
 
 from __future__ import annotations
@@ -17,21 +19,23 @@ from lodestay.llm.common import BLANKS, documents, free_name, shield, unshield,
 RULES: list[tuple[str, str]] = [
     ("too_few_words", "n_words < 50"),
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
-    ("too_many_words", "n_words > 1000000"),
     ("short_words", "word_chars < 2 * n_words"),
     ("long_words", "word_chars > 20 * n_words"),
     ("symbols_per_word", "10 * n_symbols > 3 * n_words"),
     ("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
     ("upper_case", "10 * n_upper > 4 * word_chars"),
     ("exclamations", "10 * n_exclaims > 3 * n_words"),
+    ("no_words", "n_words = 0"),
 ]
 BASE = ("too_few_words", "repeated_windows")
 #: Versioned policies: the rules that reject a document.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": BASE,
     # repeated lines alone don't reject: line dedup, which follows, takes them out of otherwise clean documents
-    "v1": (*BASE, "too_many_words", "short_words", "long_words", "symbols_per_word", "upper_case", "exclamations"),
-    "strict": (*BASE, "too_many_words", "short_words", "long_words", "symbols_per_word", "repeated_lines", "upper_case", "exclamations"),
+    "v1": (*BASE, "short_words", "long_words", "symbols_per_word", "upper_case", "exclamations"),
+    # short documents can be clean: v2 rejects only those without a word
+    "v2": ("no_words", "repeated_windows", "short_words", "long_words", "symbols_per_word", "upper_case", "exclamations"),
+    "strict": (*BASE, "short_words", "long_words", "symbols_per_word", "repeated_lines", "upper_case", "exclamations"),
 }
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaims")
 
@@ -95,7 +99,7 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
 def judge(stored: DataFrame, policy: str = "v1") -> DataFrame:
     """Adds base_failed, policy and kept from the stored bits alone."""
     failed = lambda p: F.col("failures").bitwiseAND(F.lit(mask(p))) != 0
-    return stored.withColumns({"base_failed": failed("base"), "policy": F.lit(policy), "kept": ~failed("base") & ~failed(policy)})
+    return stored.withColumns({"base_failed": failed("base"), "policy": F.lit(policy), "kept": ~failed(policy)})
 
 
 def ablations(stored: DataFrame, policy: str = "v1") -> DataFrame:
@@ -116,7 +120,7 @@ def ablations(stored: DataFrame, policy: str = "v1") -> DataFrame:
     )
 
 
-def quality_filter(docs: DataFrame, policy: str = "v1") -> DataFrame:
+def quality_filter(docs: DataFrame, policy: str = "v2") -> DataFrame:
     """docs without the rejected rows; same columns.
 
     A row number beside the verdict keeps the optimizer from pushing the filter below the measurements, where every rule
@@ -131,6 +135,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *MEASURES[:5], "base_failed", "kept", "n_lines", "n_upper", "n_exclaims", "failures")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy does to the whole table."""
+    return ablations(ledger(documents(spark, sf_dir).select("text")).select("failures"))
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
@@ -144,10 +153,18 @@ m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20
         length(regexp_replace(t, '[^A-Z]+', '', 'g'))::BIGINT AS n_upper, length(regexp_replace(t, '[^!]+', '', 'g'))::BIGINT AS n_exclaims
       FROM w LEFT JOIN cov USING (r)),
 f AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
-        + CASE WHEN n_words > 1000000 THEN 4 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 8 ELSE 0 END
-        + CASE WHEN word_chars > 20 * n_words THEN 16 ELSE 0 END + CASE WHEN 10 * n_symbols > 3 * n_words THEN 32 ELSE 0 END
-        + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 64 ELSE 0 END + CASE WHEN 10 * n_upper > 4 * word_chars THEN 128 ELSE 0 END
-        + CASE WHEN 10 * n_exclaims > 3 * n_words THEN 256 ELSE 0 END)::BIGINT AS failures FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures & 447 = 0 AS kept,
+        + CASE WHEN word_chars < 2 * n_words THEN 4 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 8 ELSE 0 END
+        + CASE WHEN 10 * n_symbols > 3 * n_words THEN 16 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 32 ELSE 0 END
+        + CASE WHEN 10 * n_upper > 4 * word_chars THEN 64 ELSE 0 END + CASE WHEN 10 * n_exclaims > 3 * n_words THEN 128 ELSE 0 END
+        + CASE WHEN n_words = 0 THEN 256 ELSE 0 END)::BIGINT AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures & 223 = 0 AS kept,
   n_lines, n_upper, n_exclaims, failures FROM f
 """
+
+ABLATIONS_SQL = f"""
+WITH l AS (SELECT failures & 223 AS bits FROM ({OP8_SQL})),
+rules AS (SELECT unnest(['too_few_words', 'repeated_windows', 'short_words', 'long_words', 'symbols_per_word', 'upper_case', 'exclamations']) AS rule,
+  unnest([1, 2, 4, 8, 16, 64, 128]) AS bit)
+SELECT rule, count(*) FILTER (bits & bit <> 0) AS failing, count(*) FILTER (bits = bit) AS failing_alone, count(*) FILTER (bits & (255 - bit) = 0) AS kept_without,
+  coalesce(bit_or(bits) FILTER (bits & bit <> 0), 0)::BIGINT AS fails_together_with FROM l, rules GROUP BY rule
+"""

@@ -47,8 +47,10 @@ def test_filter_keeps_columns_and_drops_rejected(spark):
     d = docs(spark)
     kept = quality.quality_filter(d)
     assert kept.columns == d.columns
-    want = {r.doc_id for r in quality.judge(quality.ledger(d)).collect() if r.kept}
-    assert {r.doc_id for r in kept.collect()} == want
+    want = [r.doc_id for r in quality.judge(quality.ledger(d), "v2").collect() if r.kept]
+    assert sorted(map(str, want)) == sorted(str(r.doc_id) for r in kept.collect()) and 0 not in want and 3 in want
+    for policy in quality.POLICIES:  # blank texts fail every policy
+        assert not any(r.kept for r in quality.judge(quality.ledger(d), policy).collect() if not (r.text or "").strip())
 
 
 def test_ablations(spark):

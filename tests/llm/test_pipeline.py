@@ -31,7 +31,7 @@ def test_stages(spark):
         outs.append(seen)
     assert all(o.columns == columns for o in outs[:-1])
     quality, lines, near, mixed, packed = ([tuple(r) for r in o.collect()] for o in outs)
-    ok = lambda t: (lambda m: m[0] >= 50 and 100 * m[4] <= 50 * m[0] and 10 * m[2] <= 3 * m[0] and 10 * sum("A" <= c <= "Z" for c in t) <= 4 * m[1] and 10 * t.count("!") <= 3 * m[0])(test_native.measured(t))
+    ok = lambda t: (lambda m: m[0] >= 1 and 100 * m[4] <= 50 * m[0] and 10 * m[2] <= 3 * m[0] and 10 * sum("A" <= c <= "Z" for c in t) <= 4 * m[1] and 10 * t.count("!") <= 3 * m[0])(test_native.measured(t))
     assert Counter(quality) == Counter(r for r in rows if ok(r[1] or "")) and len(quality) >= 50
     want = dict(test_pairs.line_dedup([(r[0], r[1]) for r in quality]))
     assert {r[0]: r[1] for r in lines} == want and all(r[4] == len(r[1]) for r in lines)
