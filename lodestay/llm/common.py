@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: The six ASCII blanks between words.
 BLANKS = " \t\n\x0b\x0c\r"
+SHARE = 256  # a value in more than one of SHARE rows is joined by broadcast
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a fresh temporary one only where none is set (tests, local mode)."""
+    """The folder that driver and executors share. Where none is set, local mode gets a fresh temporary one; a cluster can't."""
     path = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -36,6 +40,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that materialize() wrote, once what was read from it is itself written."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that df doesn't have (Spark's names ignore case)."""
     taken = {c.lower() for c in df.columns}
@@ -83,6 +95,16 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def with_common(left: DataFrame, right: DataFrame, on: str, weight: str, total: int, share: int = SHARE) -> DataFrame:
+    """left joined (left) to right, which has a row for a value of `on` and in `weight` how many rows of left it meets at most.
+
+    Values with more than a share of all `total` rows are fewer than `share`: they are broadcast, so no task gets one whole.
+    """
+    common = right.where(F.col(weight) > total / share)
+    rest = left.join(F.broadcast(common.select(on)), on, "left_anti").join(right.where(F.col(weight) <= total / share), on, "left")
+    return rest.unionByName(left.join(F.broadcast(common), on))
+
+
 def components(links: DataFrame, label: str = "components", rounds: int = 60) -> DataFrame:
     """Connected components of links (u, v: long): one row (node, component), component being the smallest node.
 
@@ -105,7 +127,8 @@ def components(links: DataFrame, label: str = "components", rounds: int = 60) ->
         lower = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         small = large.join(lower, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(lower.select(F.col("k").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = materialize(small, label)
+        before, edges = edges, materialize(small, label)
+        discard(before)
         now = mark(edges)
         if now == seen:
             break

@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestay.llm.common import BLANKS, components, documents, materialize, shield, slices, unshield
+from lodestay.llm.common import BLANKS, SHARE, components, documents, materialize, shield, slices, unshield, with_common
 
 #: (length from which it holds, edits), by rising length. A line must be longer than three times its edits.
 BANDS: tuple[tuple[int, int], ...] = ((20, 2), (300, 3))
 CELL = 4000
-SHARE = 256  # a line in more than one of SHARE places is joined by broadcast
 PAIRS = 8192  # verified side by side
 AREA = 4 << 20  # letters of the pairs verified side by side
 BINS = 32
@@ -453,16 +452,6 @@ def line_classes(docs: DataFrame, bands: tuple = BANDS, cell: int = CELL) -> Dat
     return groups.join(counts, F.col("node") == F.col("u")).select(F.col("node").alias("line"), F.col("component").alias("class"), "links")
 
 
-def with_common(left: DataFrame, right: DataFrame, on: str, weight: str, total: int, share: int = SHARE) -> DataFrame:
-    """left joined (left) to right, which has a row for a value of `on` and in `weight` how many rows of left it meets at most.
-
-    Values with more than a share of all `total` rows are fewer than `share`: they are broadcast, so no task gets one whole.
-    """
-    common = right.where(F.col(weight) > total / share)
-    rest = left.join(F.broadcast(common.select(on)), on, "left_anti").join(right.where(F.col(weight) <= total / share), on, "left")
-    return rest.unionByName(left.join(F.broadcast(common), on))
-
-
 def dedup(docs: DataFrame, bands: tuple = BANDS, cell: int = CELL, share: int = SHARE) -> DataFrame:
     """docs with repeated and near-repeated lines taken out of text, and n_lines (not blank), n_linked (of them, in classes of
     several texts), n_dropped, first_doc_ids (documents that keep the lines dropped here) and line_links: of each line the

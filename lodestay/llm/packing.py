@@ -5,7 +5,9 @@ pieces of at most `piece` tokens. Pieces are gathered in groups of about `window
 partitions with the largest differences are merged, largest sums of the one on smallest of the other, until one is left.
 Should its largest sum exceed the capacity, the group is packed again into one window more.
 
-Groups are made within a task, in the order of its rows, so nothing is shuffled and a task holds one group at a time.
+Groups are made within a task, in the order of its rows, so nothing is shuffled and a task holds one group at a time. The
+same files split alike give the same sequences; another split of the files gives other sequences, as full. Pieces of equal
+size are taken in the order of the rows. A long text's ids are held whole, four bytes a token.
 Null text counts as empty: one end id. Repeated rows are packed each. An empty table gives no rows; other columns are left out.
 """
 

@@ -6,7 +6,9 @@ pair. Equal fingerprints are collapsed first. Inside a group of equal keys links
 fingerprint off the list once it is reached, so a group gives at most one link a member, never all pairs.
 
 Null or wordless text has fingerprint zero and links like any other; repeated rows get the same result each; a null doc_id
-is never a component's id, but its row gets one; an empty table gives no rows; other columns pass through.
+is never a component's id, but its row gets one; ties have no part in it; an empty table gives no rows; other columns pass
+through. A text is read whole, its shingles held as 8-byte hashes. A fingerprint of a large share of the rows is joined to
+its component by broadcast, so its copies stay in the tasks that read them.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestay.llm.common import as_bytes, components, documents, materialize, shield, slices, unshield
+from lodestay.llm.common import as_bytes, components, documents, materialize, shield, slices, unshield, with_common
 
 SHINGLE = 4
 SEED = 42
@@ -165,12 +167,12 @@ def links(fps: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS, cell: int
 def _grouped(docs: DataFrame, bits: int, blocks: int) -> DataFrame:
     """docs without the text, with fp, component_id and __component (the component's smallest fingerprint)."""
     printed = materialize(fingerprints(docs), "fingerprints")
-    unique = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "unique-fingerprints")
+    unique = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("__n")), "unique-fingerprints")
     groups = components(links(unique.select("fp"), bits, blocks)).withColumnsRenamed({"node": "__node", "component": "__component"})
-    mapped = unique.join(groups, F.col("fp") == F.col("__node"), "left").select(F.col("fp"), "least_id", F.coalesce("__component", "fp").alias("__component"))
+    mapped = unique.join(groups, F.col("fp") == F.col("__node"), "left").select("fp", "least_id", "__n", F.coalesce("__component", "fp").alias("__component"))
     least = mapped.groupBy("__component").agg(F.min("least_id").alias("component_id"))
-    named = mapped.join(least, "__component").select(F.col("fp").alias("__fp"), "component_id", "__component")
-    return printed.join(named, F.col("fp") == F.col("__fp")).drop("__fp")
+    named = materialize(mapped.join(least, "__component").select("fp", "__n", "component_id", "__component"), "named-fingerprints")
+    return with_common(printed, named, "fp", "__n", printed.count()).drop("__n")
 
 
 def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:

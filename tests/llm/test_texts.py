@@ -139,6 +139,156 @@ def test_media_round_trip(spark):
             assert len(r.rgb) == r.height * r.width * 3 and r.media_bytes > 0
 
 
+class Foreign:
+    """A small encoder of progressive pictures as other writers make them: no restart markers, runs of ended blocks, flat tables."""
+
+    def __init__(self, wide, high, samplings, rng):
+        hm, vm = max(h for h, _ in samplings), max(v for _, v in samplings)
+        self.wide, self.high, self.samplings = wide, high, samplings
+        self.units = -(-wide // (8 * hm)), -(-high // (8 * vm))
+        self.own = [(-(--(-wide * h // hm) // 8), -(--(-high * v // vm) // 8)) for h, v in samplings]
+        self.coef = []
+        for (h, v), (across, down) in zip(samplings, self.own, strict=True):
+            c = rng.integers(-40, 41, (self.units[1] * v, self.units[0] * h, 64)) * (rng.random((self.units[1] * v, self.units[0] * h, 64)) < 0.06)
+            c[rng.random(c.shape[:2]) < 0.4, 1:] = 0  # blocks that end at once, for runs of them
+            c[:, across:, 1:] = c[down:, :, 1:] = 0
+            self.coef.append(c)
+        self.out, self.bits, self.n = bytearray(b"\xff\xd8"), 0, 0
+
+    def put(self, value, n):
+        for i in range(n - 1, -1, -1):
+            self.bits, self.n = self.bits << 1 | value >> i & 1, self.n + 1
+            if self.n == 8:
+                self.out.append(self.bits)
+                if self.bits == 255:
+                    self.out.append(0)
+                self.bits = self.n = 0
+
+    def symbol(self, s):
+        self.put(s, 9)
+
+    def segment(self, kind, body):
+        self.out += bytes([255, kind]) + (len(body) + 2).to_bytes(2, "big") + bytes(body)
+
+    def scan(self, comps, lo, hi, ah, al):
+        while self.n:
+            self.put(1, 1)
+        self.segment(0xDA, [len(comps), *[x for i in comps for x in (i + 1, 0)], lo, hi, ah << 4 | al])
+
+    def order(self, comps):
+        if len(comps) == 1:
+            across, down = self.own[comps[0]]
+            return [(comps[0], y, x) for y in range(down) for x in range(across)]
+        return [(i, my * v + y, mx * h + x) for my in range(self.units[1]) for mx in range(self.units[0]) for i in comps for h, v in [self.samplings[i]] for y in range(v) for x in range(h)]
+
+    def ended(self):
+        if self.run:
+            n = self.run.bit_length() - 1
+            self.symbol(n << 4)
+            self.put(self.run - (1 << n), n)
+            for b in self.held:
+                self.put(b, 1)
+        self.run, self.held = 0, []
+
+    def write(self):
+        self.segment(0xDB, [0, *[3] * 64])
+        self.segment(0xC2, [8, *self.high.to_bytes(2, "big"), *self.wide.to_bytes(2, "big"), len(self.coef), *[x for i, (h, v) in enumerate(self.samplings) for x in (i + 1, h << 4 | v, 0)]])
+        for kind in (0, 16):
+            self.segment(0xC4, [kind, *[0] * 8, 255, 1, *[0] * 6, *range(256)])
+        every = list(range(len(self.coef)))
+        self.scan(every, 0, 0, 0, 1)
+        last = dict.fromkeys(every, 0)
+        for i, y, x in self.order(every):
+            v = int(self.coef[i][y, x, 0]) >> 1
+            d, last[i] = v - last[i], v
+            s = abs(d).bit_length()
+            self.code(s)
+            self.put(d if d > 0 else d + (1 << s) - 1, s)
+        for i in every:
+            for lo, hi in ((1, 5), (6, 63)):
+                self.scan([i], lo, hi, 0, 2)
+                self.run, self.held = 0, []
+                for _, y, x in self.order([i]):
+                    r = 0
+                    for k in range(lo, hi + 1):
+                        c = int(self.coef[i][y, x, k])
+                        if not (a := abs(c) >> 2):
+                            r += 1
+                            continue
+                        self.ended()
+                        for _ in range(r // 16):
+                            self.code(0xF0)
+                        s = a.bit_length()
+                        self.code(r % 16 << 4 | s)
+                        self.put(a if c > 0 else a ^ (1 << s) - 1, s)
+                        r = 0
+                    self.run += r > 0
+                self.ended()
+        for al in (1, 0):
+            for i in every:
+                self.scan([i], 1, 63, al + 1, al)
+                self.run, self.held = 0, []
+                for _, y, x in self.order([i]):
+                    c = self.coef[i][y, x]
+                    a = np.abs(c) >> al
+                    new = [k for k in range(1, 64) if a[k] == 1]
+                    r, fixes = 0, []
+                    for k in range(1, 64):
+                        if not a[k]:
+                            r += 1
+                            continue
+                        while r > 15 and new and k <= new[-1]:
+                            self.ended()
+                            self.code(0xF0)
+                            r -= 16
+                            for b in fixes:
+                                self.put(b, 1)
+                            fixes = []
+                        if a[k] > 1:
+                            fixes.append(int(a[k]) & 1)
+                            continue
+                        self.ended()
+                        self.code(r << 4 | 1)
+                        self.put(int(c[k] > 0), 1)
+                        for b in fixes:
+                            self.put(b, 1)
+                        r, fixes = 0, []
+                    if r or fixes:
+                        self.run += 1
+                        self.held += fixes
+                self.ended()
+        self.scan(every, 0, 0, 1, 0)
+        for i, y, x in self.order(every):
+            self.put(int(self.coef[i][y, x, 0]) & 1, 1)
+        while self.n:
+            self.put(1, 1)
+        return bytes(self.out + b"\xff\xd9")
+
+    def code(self, s):
+        """Symbols 0 to 254 have the nine-bit codes 0 to 254, and 255 the next of ten bits."""
+        self.put(s, 9) if s < 255 else self.put(510, 10)
+
+    symbol = code
+
+
+def test_pictures_of_other_writers():
+    rng = np.random.default_rng(12)
+    for samplings, wide, high in (([(1, 1)] * 3, 37, 50), ([(1, 1)], 70, 41), ([(2, 2), (1, 1), (1, 1)], 53, 61), ([(2, 1), (1, 1), (1, 1)], 100, 17)):
+        foreign = Foreign(wide, high, samplings, rng)
+        data = foreign.write()
+        pic = media.parse(data)
+        got = media.coefficients([pic])
+        for c, want in zip(pic.comps.values(), foreign.coef, strict=True):
+            assert (got[c.first : c.first + c.across * c.down].reshape(want.shape) == want).all()
+        (payload, pixels), = media.decode([data])
+        assert payload == b"" and pixels.shape == (high, wide, 3)
+        exact = slow_blocks(None, (foreign.coef[0][0, 0] * 3).clip(-128, 127).astype(np.int8).tobytes()) if np.abs(foreign.coef[0][0, 0]).max() < 43 else None
+        if exact is not None and len(samplings) == 1:
+            assert np.abs(pixels[:8, :8, 0].astype(int) - np.clip(exact[0] + 128, 0, 255)).max() <= 0.51
+        mixed = media.decode([data, media.encode([bytes(range(128))])[0]])
+        assert (mixed[0][1] == pixels).all() and mixed[1][0] == bytes(range(128))
+
+
 def slow_blocks(scans_of, payload):
     """Inverse transform of each block by its definition."""
     out = []
