@@ -221,8 +221,9 @@ def host_growth_trajectory(h: DataFrame) -> DataFrame:
 
 def host_vs_platform(h: DataFrame, host_id: int) -> DataFrame:
     own = ratio("estimated_revenue", "active_listings")
-    platform = h.groupBy("month_date").agg(F.avg("occupancy_rate").alias("po"), F.avg(own).alias("pr"), F.avg("positive_review_percentage").alias("pp"))
-    return h.where(F.col("host_id") == host_id).join(platform, "month_date").select(
+    mine = F.when(F.col("host_id") == host_id, F.struct("host_id", "host_name", "active_listings", "occupancy_rate", "estimated_revenue", "positive_review_percentage"))
+    platform = h.groupBy("month_date").agg(F.avg("occupancy_rate").alias("po"), F.avg(own).alias("pr"), F.avg("positive_review_percentage").alias("pp"), F.collect_list(mine).alias("mine"))
+    return platform.select("month_date", "po", "pr", "pp", F.inline("mine")).select(
         *("host_id", "host_name", "month_date", "active_listings", "occupancy_rate"),
         r("po").alias("avg_platform_occupancy"),
         r(F.col("occupancy_rate") - F.col("po"), 1).alias("occupancy_vs_platform"),
@@ -237,20 +238,17 @@ def host_vs_platform(h: DataFrame, host_id: int) -> DataFrame:
 
 def host_kpis(h: DataFrame) -> DataFrame:
     """The newest month beside the one before it."""
-    newest = h.agg(F.max("month_date").alias("m"))
-    older = h.crossJoin(F.broadcast(newest)).where("month_date < m").agg(F.max("month_date").alias("m"))
-
-    def measures(month: DataFrame, p: str) -> DataFrame:
-        return h.join(F.broadcast(month), F.col("month_date") == F.col("m")).agg(
-            F.countDistinct("host_id").alias(f"{p}active_hosts"),
-            total("active_listings").alias(f"{p}total_listings"),
-            total("estimated_revenue").alias(f"{p}total_revenue"),
-            *[r(F.avg(c), d).alias(f"{p}{n}") for c, n, d in (("occupancy_rate", "avg_occupancy", 1), ("revenue_per_listing", "avg_revenue_per_listing", 2), ("positive_review_percentage", "avg_positive_reviews", 1))],
-            total("review_count").alias(f"{p}total_reviews"),
-        )
-
+    months = h.groupBy("month_date").agg(
+        F.countDistinct("host_id").alias("active_hosts"),
+        total("active_listings").alias("total_listings"),
+        total("estimated_revenue").alias("total_revenue"),
+        *[r(F.avg(c), d).alias(n) for c, n, d in (("occupancy_rate", "avg_occupancy", 1), ("revenue_per_listing", "avg_revenue_per_listing", 2), ("positive_review_percentage", "avg_positive_reviews", 1))],
+        total("review_count").alias("total_reviews"),
+    )
+    last = months.orderBy(F.desc("month_date")).limit(2)
+    w = Window.orderBy("month_date")  # over two rows
+    both = last.withColumns({f"p_{c}": F.lag(c).over(w) for c in months.columns}).orderBy(F.desc("month_date")).limit(1)
     growth = lambda c: r(ratio(F.col(c).cast("double") - F.col(f"p_{c}").cast("double"), f"p_{c}", 100.0), 1)
-    both = measures(newest, "").crossJoin(measures(older, "p_"))
     return both.select(
         "active_hosts",
         growth("active_hosts").alias("active_hosts_growth"),

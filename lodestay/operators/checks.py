@@ -3,37 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: The formats a timestamp column may have, and the pattern of an address.
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy")
+#: The formats a timestamp column may have (the fraction has one digit or more), and the pattern of an address.
+TIMESTAMP_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
-LOGICAL = {"tinyint": "BIGINT", "smallint": "BIGINT", "int": "BIGINT", "bigint": "BIGINT", "float": "DOUBLE PRECISION", "double": "DOUBLE PRECISION", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
-#: Types that may be stored in a column of another type, besides their own.
-WIDENS = {"BIGINT": ("INTEGER", "DOUBLE PRECISION", "NUMERIC", "TEXT"), "DOUBLE PRECISION": ("NUMERIC", "TEXT"), "BOOLEAN": ("TEXT",), "DATE": ("TIMESTAMP WITH TIME ZONE", "TEXT"), "TIMESTAMP WITH TIME ZONE": ("TEXT",), "TEXT": ()}
+LOGICAL = {"tinyint": "BIGINT", "smallint": "BIGINT", "int": "BIGINT", "bigint": "BIGINT", "float": "DOUBLE PRECISION", "double": "DOUBLE PRECISION", "decimal": "NUMERIC", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "struct": "JSONB", "map": "JSONB", "array": "JSONB", "variant": "JSONB"}
+#: What text must look like to be of a type; the first that fits every value is the column's type.
+TEXT_TYPES = {"BIGINT": "^[+-]?[0-9]{1,18}$", "DOUBLE PRECISION": "^[+-]?[0-9]*[.]?[0-9]+([eE][+-]?[0-9]+)?$", "BOOLEAN": "^(true|false|t|f)$", "DATE": "^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "TIMESTAMP": "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?$", "JSONB": "^ *[{\\[].*[}\\]] *$"}
+#: By the start of a stored type, the starts of types that it takes besides its own.
+TAKES = {"INTEGER": ("BIGINT", "INTEGER", "SMALLINT"), "BIGINT": ("BIGINT",), "NUMERIC": ("NUMERIC", "INTEGER", "BIGINT", "SMALLINT", "DOUBLE PRECISION"), "TEXT": ("TEXT", "VARCHAR", "CHAR"), "TIMESTAMP": ("TIMESTAMP", "TIMESTAMPTZ"), "BOOLEAN": ("BOOLEAN",), "JSONB": ("JSONB", "JSON"), "JSON": ("JSON", "JSONB")}
 
 
-def infer_types(df: DataFrame) -> dict[str, str]:
-    """Logical type of each column; anything unknown is text."""
-    return {c: LOGICAL.get(t, "TEXT") for c, t in df.dtypes}
+def infer_types(df: DataFrame) -> DataFrame:
+    """column_name, filled (values that aren't null) and logical_type: a typed column's own, a text column's by all its values.
 
+    One aggregation over the rows; a column without values is text.
+    """
+    text = [c for c, t in df.dtypes if t == "string"]
+    fits = [F.count_if(F.col(f"`{c}`").rlike(p)).alias(f"{i}_{j}") for i, c in enumerate(text) for j, p in enumerate(TEXT_TYPES.values())]
+    counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(df.columns)], *fits)
 
-def compatible(new: dict[str, str], stored: dict[str, str]) -> list[tuple[str, str, str, str]]:
-    """(column, new, stored, verdict) of common columns: same, compatible, narrowing or incompatible."""
-    out = []
-    for c, t in new.items():
-        if c in stored:
-            s = stored[c]
-            fits = s in WIDENS[t]
-            out.append((c, t, s, "same" if s == t else "narrowing" if fits and (t, s) == ("BIGINT", "INTEGER") else "compatible" if fits else "incompatible"))
-    return out
+    def kind(c: str, n: Column) -> Column:
+        if c not in text:
+            return F.lit(LOGICAL.get(dict(df.dtypes)[c].split("<")[0].split("(")[0], "TEXT"))
+        rule = F
+        for j, name in enumerate(TEXT_TYPES):
+            rule = rule.when((n > 0) & (F.col(f"{text.index(c)}_{j}") == n), name)
+        return rule.otherwise("TEXT")
 
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n_{i}").alias("filled"), kind(c, F.col(f"n_{i}")).alias("logical_type")) for i, c in enumerate(df.columns)]
+    return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
-def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
-    return [c for c in required if c not in df.columns]
+
+def declared_types(df: DataFrame) -> dict[str, str]:
+    """Logical types from the columns' own types alone."""
+    return {c: LOGICAL.get(t.split("<")[0].split("(")[0], "TEXT") for c, t in df.dtypes}
+
+
+def takes(stored: str, new: str) -> bool:
+    """Whether a stored column of one logical type takes values of another."""
+    kinds = next((k for start, k in TAKES.items() if stored.startswith(start)), ())
+    return stored == new or new.startswith(tuple(kinds)) and bool(kinds)
+
+
+def compatible(new: DataFrame, stored: dict[str, str]) -> DataFrame:
+    """new (column_name, logical_type) against stored types -> column_name, logical_type, stored, verdict of common columns:
+    same, compatible, incompatible, or narrowing: a stored INTEGER takes a BIGINT, though large values won't fit."""
+    spark = new.sparkSession
+    known = spark.createDataFrame(sorted(stored.items()), "column_name string, stored string")
+    taken = F.lit(False)
+    for start, kinds in reversed(TAKES.items()):
+        fits = reduce(lambda a, k: a | F.col("logical_type").startswith(k), kinds, F.lit(False))
+        taken = F.when(F.col("stored").startswith(start), fits).otherwise(taken)
+    verdict = F.when(F.col("stored") == F.col("logical_type"), "same").when(~taken, "incompatible").when((F.col("stored") == "INTEGER") & (F.col("logical_type") == "BIGINT"), "narrowing").otherwise("compatible")
+    return new.join(F.broadcast(known), "column_name").select("column_name", "logical_type", "stored", verdict.alias("verdict"))  # a row a column
+
+
+def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """column_name, present, filled: whether each required column is there, and how many rows have a value in it."""
+    filled = [(F.count(F.col(f"`{c}`")) if c in df.columns else F.count_if(F.lit(False))).alias(f"n{i}") for i, c in enumerate(required)]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(c in df.columns).alias("present"), F.col(f"n{i}").alias("filled")) for i, c in enumerate(required)]
+    return df.agg(*filled).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def timestamp_formats(df: DataFrame, c: str) -> DataFrame:
@@ -117,8 +151,3 @@ def verify_range(df: DataFrame, key: str, low: int, high: int, rules: Sequence[t
     counts = held.agg(F.count("*").alias("rows"), *[F.count_if(~F.coalesce(F.expr(cond), F.lit(False))).alias(f"f{i}") for i, (_, cond, _) in enumerate(rules)])
     listed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("message"), F.col(f"f{i}").alias("failures")) for i, (c, _, m) in enumerate(rules)])
     return counts.select("rows", F.explode(listed).alias("r")).select("rows", "r.*")
-
-
-def types_frame(spark: SparkSession, types: dict[str, str]) -> DataFrame:
-    schema = T.StructType([T.StructField("column_name", T.StringType()), T.StructField("logical_type", T.StringType())])
-    return spark.createDataFrame(sorted(types.items()), schema)

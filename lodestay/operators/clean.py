@@ -16,6 +16,7 @@ QUICK = [t for t, (_, h) in RESPONSE_TIMES.items() if h <= 3]
 SAME_DAY = [t for t, (_, h) in RESPONSE_TIMES.items() if h <= 24]
 POSITIVE = ("excellent", "great", "fantastic", "amazing", "wonderful", "perfect")
 NEGATIVE = ("bad", "terrible", "poor", "awful", "horrible")
+HOST_COUNTS = ("calculated_host_listings_count", *(f"calculated_host_listings_count_{k}" for k in ("entire_homes", "private_rooms", "shared_rooms")))
 NUMBER = r"^[0-9]*\.?[0-9]+$"
 SIGNED_NUMBER = r"^-?[0-9]*\.?[0-9]+$"
 
@@ -31,7 +32,7 @@ def truth(c: str) -> Column:
 
 def stg_listings(raw: DataFrame) -> DataFrame:
     bare = F.regexp_replace("price", "[$,]", "")
-    numbers = ("host_listings_count", "accommodates", "bedrooms", "beds", "minimum_nights", "maximum_nights", "calculated_host_listings_count")
+    numbers = ("host_listings_count", "accommodates", "bedrooms", "beds", "minimum_nights", "maximum_nights", *HOST_COUNTS)
     return raw.select(
         F.col("id").try_cast("bigint").alias("listing_id"),
         F.col("host_id").try_cast("bigint").alias("host_id"),
@@ -89,8 +90,8 @@ def clean_calendar(stg: DataFrame) -> DataFrame:
         "listing_id",
         d.alias("calendar_date"),
         flag("available").alias("is_available"),
-        money("price").alias("price"),
-        money("adjusted_price").alias("adjusted_price"),
+        money("price", 10).alias("price"),
+        money("adjusted_price", 10).alias("adjusted_price"),
         *("minimum_nights", "maximum_nights"),
         day_of_week(d).alias("day_of_week"),
         F.month(d).alias("month_num"),
@@ -165,7 +166,7 @@ def clean_listings(stg: DataFrame) -> DataFrame:
         quality_score().alias("host_quality_score"),
         *("host_is_superhost", "host_listings_count", "neighbourhood_cleansed", "latitude", "longitude", "property_type", "room_type", "accommodates", "bathrooms_text", "bedrooms", "beds", "amenities"),
         F.when(price.rlike(NUMBER), price.try_cast("decimal(12,2)")).alias("price"),
-        *("minimum_nights", "maximum_nights", "license", "instant_bookable", "calculated_host_listings_count", "last_scraped", "_ingested_at", "record_hash"),
+        *("minimum_nights", "maximum_nights", "license", "instant_bookable", *HOST_COUNTS, "last_scraped", "_ingested_at", "record_hash"),
         listing_quality().alias("data_quality_check"),
     )
 

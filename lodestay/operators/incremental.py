@@ -18,7 +18,10 @@ def above_watermark(source: DataFrame, target: DataFrame, stamp: str = "_ingeste
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """target with the rows of source put in place of those with the same keys; new columns of source are appended."""
+    """target with the rows of source put in place of those with the same keys; new columns of source are appended.
+
+    source has one row a key; latest() makes it so.
+    """
     kept = target.join(source.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 
@@ -53,6 +56,12 @@ def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__nth = 1").drop("__nth")
 
 
+def upsert_log(target: DataFrame, news: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    """A keyed ledger after more events: of each key the last row of both (order: what comes first wins), so that events that
+    arrive late or twice change nothing."""
+    return latest(target.unionByName(news), keys, *order)
+
+
 def detect_changes(source: DataFrame, current: DataFrame, key: str, stamp: str = "_ingested_at", digest: str = "record_hash") -> DataFrame:
     """source with requires_change: a new key, or newer data with another hash."""
     known = current.select(F.col(key), F.col(stamp).alias("__stamp"), F.col(digest).alias("__hash"), F.lit(True).alias("__known"))

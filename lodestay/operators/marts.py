@@ -23,6 +23,23 @@ def fct_calendar_daily(clean: DataFrame) -> DataFrame:
     return clean.withColumn("price_change_from_previous_day", F.when(before.isNotNull(), F.col("price") - before).otherwise(0))
 
 
+def fct_calendar_incremental(facts: DataFrame, clean: DataFrame) -> DataFrame:
+    """facts after more cleaned days: new days are added, days that are there already replaced, and where the day before has
+    changed, the price change follows. Only listings with new days are worked on, from the last day before the first of them.
+
+    The same rows as a computation anew, whatever the batches; a listing's unchanged history is passed on as it is.
+    """
+    first = clean.groupBy("listing_id").agg(F.min("calendar_date").alias("__first"))
+    days = facts.select(*clean.columns)
+    old = facts.join(first, "listing_id", "left")
+    before = old.where("calendar_date < __first").groupBy("listing_id").agg(F.max("calendar_date").alias("__tail"))
+    open_days = days.join(first, "listing_id").join(before, "listing_id", "left").where("calendar_date >= coalesce(__tail, __first)")
+    kept = open_days.join(clean.select("listing_id", "calendar_date"), ["listing_id", "calendar_date"], "left_anti")
+    again = fct_calendar_daily(kept.select(*clean.columns).unionByName(clean)).join(first, "listing_id").where("calendar_date >= __first")
+    settled = old.where("__first IS NULL OR calendar_date < __first")
+    return settled.select(*facts.columns).unionByName(again.select(*facts.columns))
+
+
 def fct_reviews(clean: DataFrame) -> DataFrame:
     """Valid reviews with a surrogate key and parts of the date."""
     d = "review_date"
@@ -180,12 +197,19 @@ def listing_months(calendar: DataFrame, as_of: str | None = None) -> DataFrame:
 
 def elasticity(months: DataFrame) -> DataFrame:
     """Change of rate and occupancy from a listing's month before, and minus their ratio (0 where the rate stayed)."""
+    changed = with_elasticity(months).where("price_elasticity IS NOT NULL")
+    return changed.select("listing_id", "month_start_date", "price_change_pct", "occupancy_change_pct", "price_elasticity")
+
+
+def with_elasticity(months: DataFrame) -> DataFrame:
+    """months with the columns of elasticity(), null unless both changes are known."""
     w = Window.partitionBy("listing_id").orderBy("month_start_date")
     change = lambda c: F.when(F.lag(c).over(w) > 0, (F.col(c) / F.lag(c).over(w) - 1) * 100)
-    changed = months.select("listing_id", "month_start_date", change("adr").alias("price_change_pct"), change("occupancy_rate").alias("occupancy_change_pct"))
-    changed = changed.where("price_change_pct IS NOT NULL AND occupancy_change_pct IS NOT NULL")
+    both = months.withColumns({"price_change_pct": change("adr"), "occupancy_change_pct": change("occupancy_rate")})
+    known = F.col("price_change_pct").isNotNull() & F.col("occupancy_change_pct").isNotNull()
+    both = both.withColumns({c: F.when(known, F.col(c)) for c in ("price_change_pct", "occupancy_change_pct")})
     by = F.col("price_change_pct")
-    return changed.withColumn("price_elasticity", F.when(by != 0, F.col("occupancy_change_pct") / F.nullif(by, F.lit(0.0)) * -1).otherwise(0.0))
+    return both.withColumn("price_elasticity", F.when(by != 0, F.col("occupancy_change_pct") / F.nullif(by, F.lit(0.0)) * -1).when(by == 0, 0.0))
 
 
 def elasticity_category(e: str = "price_elasticity") -> Column:
@@ -214,7 +238,7 @@ def seasonal(df: DataFrame) -> DataFrame:
 
 
 def financial_performance(months: DataFrame, listings: DataFrame) -> DataFrame:
-    joined = months.join(elasticity(months), ["listing_id", "month_start_date"], "left").join(listings.select(*DIM), "listing_id")
+    joined = with_elasticity(months).join(listings.select(*DIM), "listing_id")
     premium = F.when(F.col("weekday_adr") > 0, (F.col("weekend_adr") / F.col("weekday_adr") - 1) * 100).otherwise(0.0)
     return seasonal(joined.withColumns({"weekend_pricing_premium_pct": premium, "elasticity_category": elasticity_category(), "pricing_recommendation": pricing_recommendation()}))
 
@@ -318,7 +342,3 @@ def freshness(df: DataFrame, record: str, ingested: str, loaded: str, as_of: Col
     )
     spans = {f"{n}_span_hours": hours(f"oldest_{n}", f"newest_{n}") for n in ("record", "ingestion", "load")}
     return out.withColumns(spans | {"fresh_records_percentage": ratio("fresh_records_24h", "record_count", 100.0)})
-
-
-def month_label(d: str) -> Column:
-    return month_name(d)

@@ -47,6 +47,9 @@ LISTING_COLUMNS: dict[str, str] = {
     "license": pick("s_suppkey", ["'L-1'", "NULL"]),
     "instant_bookable": pick("s_suppkey", ["'t'", "'f'"]),
     "calculated_host_listings_count": "s_suppkey % 3 + 1",
+    "calculated_host_listings_count_entire_homes": "s_suppkey % 3",
+    "calculated_host_listings_count_private_rooms": pick("s_suppkey", ["1", "0", "NULL"]),
+    "calculated_host_listings_count_shared_rooms": "s_suppkey % 2",
     "last_scraped": "timestamp '2001-11-04 12:00:00'",
     "_ingested_at": INGESTED,
 }

@@ -81,7 +81,11 @@ add("dim_refresh_changed", lambda s, d: incremental.refresh_changed(_rev(s, d, "
 
 # Checks.
 _c = lambda s, d, t: table(s, d, t)
-add("check_timestamp", lambda s, d: checks.timestamp_formats(table(s, d, "orders").withColumn("t", F.date_format("o_orderdate", "yyyy-MM-dd")), "t").select("bad_1", "bad_2", "valid"), "SELECT 0::BIGINT AS bad_1, count(*) AS bad_2, TRUE AS valid FROM orders")
+_day = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10))"
+_WHEN = f"CASE WHEN o_orderkey % 97 = 0 THEN 'soon' WHEN o_orderkey % 3 = 0 THEN {_day} WHEN o_orderkey % 3 = 1 THEN concat({_day}, ' 10:20:30') ELSE concat({_day}, 'T10:20:30.25') END"
+_bad = lambda f: f"count(*) FILTER (try_strptime(t, '{f}') IS NULL)"
+add("check_timestamp", lambda s, d: checks.timestamp_formats(table(s, d, "orders").select(F.expr(_WHEN).alias("t")), "t"),
+    f"SELECT *, least(bad_0, bad_1, bad_2) = 0 AS valid FROM (SELECT {_bad('%Y-%m-%dT%H:%M:%S.%f')} AS bad_0, {_bad('%Y-%m-%d %H:%M:%S')} AS bad_1, {_bad('%Y-%m-%d')} AS bad_2 FROM (SELECT {_WHEN} AS t FROM orders))")
 add("check_json", lambda s, d: checks.bad_json(table(s, d, "events").select("event_id", F.when(F.col("event_id") % 100 == 0, F.lit("{bad")).otherwise(F.col("props")).alias("props")), "props").select("event_id"), "SELECT event_id FROM events WHERE event_id % 100 = 0")
 _amen = lambda s, d: bridge.raw_listings(s, d).withColumn("amenities", F.when(F.col("id") % 7 == 0, "[x").otherwise(F.col("amenities")))
 add("check_array", lambda s, d: _amen(s, d).select("id", F.array_join(checks.array_items("amenities"), "|").alias("items")).select("id", F.regexp_replace("items", '"', "").alias("items")),
@@ -92,7 +96,7 @@ add("check_email", lambda s, d: checks.bad_emails(table(s, d, "customer").select
 add("check_unique", lambda s, d: checks.not_unique(table(s, d, "orders"), "o_custkey"), "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1")
 add("check_not_null", lambda s, d: checks.is_null(table(s, d, "customer").withColumn("x", F.nullif(F.col("c_nationkey"), F.lit(3))), "x").select("c_custkey"), "SELECT c_custkey FROM customer WHERE c_nationkey = 3")
 add("check_accepted_values", lambda s, d: checks.not_accepted(table(s, d, "orders"), "o_orderstatus", ["F", "O"]), "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 1")
-add("check_relationships", lambda s, d: checks.orphans(table(s, d, "customer"), "c_custkey", table(s, d, "orders"), "o_custkey").select("c_custkey"), "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+add("check_relationships", lambda s, d: checks.orphans(table(s, d, "customer"), "c_custkey", table(s, d, "orders").where("o_orderstatus = 'P'"), "o_custkey").select("c_custkey"), "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
 add("check_expression", lambda s, d: checks.breaks(table(s, d, "lineitem"), "l_quantity >= 3").groupBy("l_linestatus").agg(F.count("*").alias("n")), "SELECT l_linestatus, count(*) AS n FROM lineitem WHERE NOT l_quantity >= 3 GROUP BY 1")
 add("check_range", lambda s, d: checks.out_of_range(table(s, d, "part"), "p_size", 5, 45).select("p_partkey"), "SELECT p_partkey FROM part WHERE p_size < 5 OR p_size > 45")
 add("check_not_null_proportion", lambda s, d: checks.not_null_proportion(table(s, d, "customer").withColumn("x", F.nullif(F.col("c_nationkey"), F.lit(3))), "x", 0.9), f"SELECT {r('count(nullif(c_nationkey, 3))::DOUBLE / count(*)')} AS proportion, count(nullif(c_nationkey, 3))::DOUBLE / count(*) >= 0.9::DOUBLE AS valid FROM customer")
@@ -104,9 +108,17 @@ add("freshness_metrics", lambda s, d: marts.freshness(_fresh(s, d).withColumn("b
     f"SELECT count(*) AS record_count, count(*) FILTER (ts + INTERVAL 24 HOURS >= TIMESTAMP '{NOW}' - INTERVAL 24 HOURS) AS fresh_records_24h, {r('(epoch_us(max(ts)) - epoch_us(min(ts)))::DOUBLE / 3.6e9')} AS record_span_hours, {r('(epoch_us(max(ts)) - epoch_us(min(ts)))::DOUBLE / 3.6e9')} AS ingestion_span_hours, {r('count(*) FILTER (ts + INTERVAL 24 HOURS >= TIMESTAMP ' + chr(39) + NOW + chr(39) + ' - INTERVAL 24 HOURS)::DOUBLE / count(*) * 100.0')} AS fresh_records_percentage FROM events")
 add("verify_range", lambda s, d: checks.verify_range(table(s, d, "orders"), "o_orderkey", 100, 1100, [("o_totalprice", "o_totalprice > 50000", "too cheap"), ("o_orderstatus", "o_orderstatus = 'F'", "not final")]),
     "SELECT count(*) AS rows, 'o_totalprice' AS column_name, 'too cheap' AS message, count(*) FILTER (NOT o_totalprice > 50000) AS failures FROM orders WHERE o_orderkey >= 100 AND o_orderkey < 1100 UNION ALL SELECT count(*), 'o_orderstatus', 'not final', count(*) FILTER (o_orderstatus <> 'F') FROM orders WHERE o_orderkey >= 100 AND o_orderkey < 1100")
-add("infer_types", lambda s, d: checks.types_frame(s, checks.infer_types(table(s, d, "orders"))))
-add("schema_compatible", lambda s, d: s.createDataFrame(checks.compatible(checks.infer_types(table(s, d, "orders")), {"o_orderkey": "INTEGER", "o_totalprice": "BIGINT", "o_orderdate": "TEXT", "o_orderstatus": "TEXT"}), "column_name string, new string, stored string, verdict string"))
-add("check_required_columns", lambda s, d: s.createDataFrame([(c,) for c in checks.missing_columns(table(s, d, "orders"), ["o_orderkey", "o_comment"])], "missing string"))
+ASKED = {"order_id": "CAST(o_orderkey AS VARCHAR(20))", "placed": _day, "settled": "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 't' END", "customer": "concat('{', CAST(o_custkey AS VARCHAR(20)), '}')", "status": "o_orderstatus", "price": "o_totalprice"}
+_asked = lambda s, d: table(s, d, "orders").select(*[F.expr(e).alias(n) for n, e in ASKED.items()])
+_kind = lambda c: "'DOUBLE PRECISION'" if c == "price" else "CASE " + " ".join(f"WHEN count({c}) > 0 AND count(*) FILTER (regexp_matches({c}, '{p}')) = count({c}) THEN '{k}'" for k, p in checks.TEXT_TYPES.items()) + " ELSE 'TEXT' END"
+INFERRED = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS filled, {_kind(c)} AS logical_type FROM (SELECT {e} AS {c} FROM orders)" for c, e in ASKED.items())
+add("infer_types", lambda s, d: checks.infer_types(_asked(s, d)), INFERRED)
+_STORED = {"order_id": "INTEGER", "placed": "TIMESTAMP", "settled": "BOOLEAN", "customer": "JSON", "status": "BIGINT", "price": "NUMERIC"}
+add("schema_compatible", lambda s, d: checks.compatible(checks.infer_types(_asked(s, d)), _STORED),
+    f"""SELECT column_name, logical_type, stored, CASE WHEN stored = logical_type THEN 'same' WHEN stored = 'INTEGER' AND logical_type = 'BIGINT' THEN 'narrowing'
+      WHEN stored = 'NUMERIC' AND logical_type IN ('BIGINT', 'DOUBLE PRECISION') OR stored = 'JSON' AND logical_type = 'JSONB' THEN 'compatible' ELSE 'incompatible' END AS verdict
+    FROM ({INFERRED}) JOIN (VALUES {', '.join(f"('{c}', '{t}')" for c, t in _STORED.items())}) AS v(column_name, stored) USING (column_name)""")
+add("check_required_columns", lambda s, d: checks.required_columns(_asked(s, d), ["order_id", "settled", "comment"]), f"SELECT 'order_id' AS column_name, TRUE AS present, count(*) AS filled FROM orders UNION ALL SELECT 'settled', TRUE, count({ASKED['settled']}) FROM orders UNION ALL SELECT 'comment', FALSE, 0")
 
 # Ledgers.
 _L = lambda s, d: bridge.ledger(s, d).withColumn("start_time", F.col("start_time").cast("timestamp"))
@@ -123,7 +135,12 @@ add("recovery_prune", lambda s, d: reporting.recovery_prune(_L(s, d), at(NOW)).s
 add("table_metadata", lambda s, d: reporting.table_metadata(_L(s, d)), f"SELECT table_name, arg_max(file_name, (start_time, event_id)) AS last_file_processed, {b('sum(rows_processed)')} AS total_rows FROM {L} GROUP BY 1")
 add("file_status", lambda s, d: reporting.file_status(_L(s, d), "b7"), f"SELECT file_name, processing_status, rows_processed FROM {L} WHERE batch_id = 'b7' QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY start_time DESC, event_id DESC) = 1")
 add("ledger_latest", lambda s, d: reporting.ledger_latest(_L(s, d)).select("file_name", "batch_id", "event_id", "processing_status"), f"SELECT file_name, batch_id, event_id, processing_status FROM {L} QUALIFY row_number() OVER (PARTITION BY file_name, batch_id ORDER BY start_time DESC, event_id DESC) = 1")
-add("retention_expired", lambda s, d: reporting.retention_expired(_L(s, d).where("event_id % 7 = 0"), at("2024-04-20 00:00:00")).select("table_name", "batch_id"), f"SELECT table_name, batch_id FROM {L} WHERE event_id % 7 = 0 GROUP BY 1, 2 HAVING count(*) FILTER (processing_status = 'IN_PROGRESS') = 0 AND max(start_time) < TIMESTAMP '2024-04-20 00:00:00' - INTERVAL 90 DAYS")
+_part = lambda s, d, k: _L(s, d).where(F.col("event_id") % 3 == k)
+_newest = (F.desc("start_time"), F.desc("event_id"))
+add("ledger_upsert", lambda s, d: incremental.upsert_log(incremental.upsert_log(reporting.ledger_latest(_part(s, d, 1)), _part(s, d, 0), ["file_name", "batch_id"], *_newest), _part(s, d, 2), ["file_name", "batch_id"], *_newest).select("file_name", "batch_id", "event_id", "processing_status"),
+    f"SELECT file_name, batch_id, event_id, processing_status FROM {L} QUALIFY row_number() OVER (PARTITION BY file_name, batch_id ORDER BY start_time DESC, event_id DESC) = 1")
+_DAILY = "concat(batch_id, '-', file_name, '-', CAST(CAST(start_time AS DATE) AS VARCHAR(10)))"
+add("retention_expired", lambda s, d: reporting.retention_expired(_L(s, d).withColumn("batch_id", F.expr(_DAILY)), at("2024-04-20 00:00:00")).select("table_name", "batch_id"), f"SELECT table_name, {_DAILY} AS batch_id FROM {L} GROUP BY ALL HAVING count(*) FILTER (processing_status = 'IN_PROGRESS') = 0 AND max(start_time) < TIMESTAMP '2024-04-20 00:00:00' - INTERVAL 90 DAYS")
 
 # Files, written from the tables first, and batches.
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
@@ -139,8 +156,14 @@ def written(spark: SparkSession, d: str) -> str:
 
 add("null_nan_normalize", lambda s, d: sources.nan_to_null(table(s, d, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("s_acctbal")).alias("v"))), f"SELECT s_suppkey, CASE WHEN s_suppkey % 3 <> 0 THEN {r('s_acctbal')} END AS v FROM supplier")
 add("scan_csv_gz", lambda s, d: sources.read_csv_gz(s, written(s, d), ORDERS, 8), f"SELECT o_orderkey, o_custkey, o_orderstatus, {r('o_totalprice')} AS o_totalprice FROM orders")
-add("scan_glob", lambda s, d: sources.fingerprints(s, written(s, d)).agg((F.count("*") > 0).alias("found"), F.bool_and(F.col("file_name").endswith(".csv.gz")).alias("all_gz")), "SELECT TRUE AS found, TRUE AS all_gz")
-add("entity_from_path", lambda s, d: table(s, d, "orders").select(sources.entity(F.concat(F.lit("s3://in/"), "o_orderstatus", F.lit("/Orders.csv.gz"))).alias("entity")).distinct(), "SELECT 'orders' AS entity")
+def _scan(spark: SparkSession, d: str) -> DataFrame:
+    path = written(spark, d)
+    rows = sources.read_csv_gz(spark, path, ORDERS).groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+    return rows.crossJoin(sources.fingerprints(spark, path).agg((F.count("*") > 0).alias("found"), F.bool_and(F.col("file_name").endswith(".csv.gz")).alias("all_gz")))
+
+
+add("scan_glob", _scan, "SELECT o_orderstatus, count(*) AS rows, TRUE AS found, TRUE AS all_gz FROM orders GROUP BY 1")
+add("entity_from_path", lambda s, d: table(s, d, "orders").groupBy(sources.entity(F.concat(F.lit("s3://in/2024/Orders_"), "o_orderstatus", F.lit(".v1.csv.gz"))).alias("entity")).agg(F.count("*").alias("n")), "SELECT 'orders_' || lower(o_orderstatus) AS entity, count(*) AS n FROM orders GROUP BY 1")
 
 
 def _skip(spark: SparkSession, d: str) -> DataFrame:
@@ -181,6 +204,37 @@ add("bronze_rollback", _rollback, "SELECT 'good' AS _batch_id, count(*) AS rows
 add("materialize", lambda s, d: sources.materialize(_orders(s, d), "table", "orders", sources.work_dir(s)).join(sources.materialize(_orders(s, d), "view", "orders_view").select("o_orderkey"), "o_orderkey").agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM orders")
 
 
+def _loads(spark: SparkSession, d: str) -> DataFrame:
+    """Two files, the second once more, and one whose price is text: completed, completed, skipped, failed."""
+    path, metrics = (f"{sources.work_dir(spark)}/{x}" for x in ("bronze", "metrics"))
+    for k in (0, 1, 1):
+        sources.load(_orders(spark, d).where(F.col("o_orderkey") % 2 == k), path, metrics, "orders", f"b{k}", f"orders_{k}.csv.gz", f"hash{k}", ingested_at=at(FIRST))
+    try:
+        sources.load(_orders(spark, d).withColumn("o_totalprice", F.col("o_totalprice").cast("string")), path, metrics, "orders", "b2", "orders_2.csv.gz", "hash2")
+    except ValueError as e:
+        if "o_totalprice" not in str(e):
+            raise
+    counts = sources.batch_counts(spark.read.parquet(path)).withColumnRenamed("rows", "stored")
+    return sources.read_metrics(spark, metrics).join(counts, F.col("batch_id") == F.col("_batch_id"), "left").select("file_name", "table_name", "batch_id", "processing_status", "rows_processed", "rows_inserted", "rows_failed", F.col("error_message").isNotNull().alias("failed"), F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+_half = lambda k, status, n: f"SELECT 'orders_{k}.csv.gz' AS file_name, 'orders' AS table_name, 'b{k}' AS batch_id, '{status}' AS processing_status, {n} AS rows_processed, {n} AS rows_inserted, 0 AS rows_failed, {status == 'FAILED'} AS failed, count(*) FILTER (o_orderkey % 2 = {k}) AS stored FROM orders"
+add("load_with_metrics", _loads, " UNION ALL ".join([*[_half(k, "COMPLETED", f"count(*) FILTER (o_orderkey % 2 = {k})") for k in (0, 1)], _half(1, "SKIPPED", "0"), _half(2, "FAILED", "0")]))
+
+
+def _expire(spark: SparkSession, d: str) -> DataFrame:
+    """A year of orders is a batch; those past retention are dropped."""
+    path = f"{sources.work_dir(spark)}/bronze"
+    rows = table(spark, d, "orders").withColumns({"_batch_id": F.concat(F.lit("y"), F.year("o_orderdate")), "start_time": F.col("o_orderdate").cast("timestamp")})
+    rows.write.partitionBy("_batch_id").parquet(path)
+    ledger = rows.select(F.lit("orders").alias("table_name"), F.col("_batch_id").alias("batch_id"), "start_time", F.lit("COMPLETED").alias("processing_status"))
+    sources.drop_batches(spark, path, reporting.retention_expired(ledger, at("2000-01-01 00:00:00")).select(F.col("batch_id").alias("_batch_id")))
+    return sources.batch_counts(spark.read.parquet(path))
+
+
+add("retention_drop", _expire, "SELECT 'y' || year(o_orderdate) AS _batch_id, count(*) AS rows FROM orders GROUP BY 1 HAVING max(o_orderdate) >= TIMESTAMP '2000-01-01 00:00:00' - INTERVAL 90 DAYS")
+
+
 def _report(spark: SparkSession, d: str) -> DataFrame:
     path = f"{sources.work_dir(spark)}/report"
     sources.write_report(reporting.load_operations(_L(spark, d)), path)
@@ -211,12 +265,18 @@ def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _upserts(spark: SparkSession, d: str) -> DataFrame:
+    """Three files, a micro-batch each: later ones hold every second and every third customer with a newer version."""
     work = sources.work_dir(spark)
-    streaming.upsert_stream(_stream(spark, d, "customer").select("c_custkey", "c_mktsegment"), f"{work}/customers", ["c_custkey"], f"{work}/checkpoint")
-    return spark.read.parquet(f"{work}/customers/v00000000")
+    for k in (1, 2, 3):
+        rows = table(spark, d, "customer").where(F.col("c_custkey") % k == 0).select("c_custkey", F.concat("c_mktsegment", F.lit(f" {k}")).alias("segment"), F.lit(k).alias("version"))
+        rows.coalesce(1).write.mode("append").parquet(f"{work}/in")
+    stream = spark.readStream.schema("c_custkey bigint, segment string, version int").option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    streaming.upsert_stream(stream, f"{work}/customers", ["c_custkey"], f"{work}/checkpoint", [F.desc("version"), F.asc("segment")])
+    return spark.read.parquet(f"{work}/customers").drop("_bucket")
 
 
-add("stream_upsert", _upserts, "SELECT c_custkey, c_mktsegment FROM customer")
+_version = "CASE WHEN c_custkey % 3 = 0 THEN 3 WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END"
+add("stream_upsert", _upserts, f"SELECT c_custkey, c_mktsegment || ' ' || {_version} AS segment, {_version} AS version FROM customer")
 
 
 def _dedup(spark: SparkSession, d: str) -> DataFrame:

@@ -83,10 +83,10 @@ def _not_in(t: Tables) -> DataFrame:
     """NOT IN, which Catalyst plans as a null-aware anti join."""
     t.customer.createOrReplaceTempView("customers_asked")
     t.orders.createOrReplaceTempView("orders_asked")
-    return t.spark.sql("SELECT c_custkey FROM customers_asked WHERE c_custkey NOT IN (SELECT o_custkey FROM orders_asked WHERE o_custkey % 2 = 0)")
+    return t.spark.sql("SELECT c_custkey FROM customers_asked WHERE c_custkey NOT IN (SELECT o_custkey FROM orders_asked WHERE o_orderstatus = 'P')")
 
 
-add("anti_join_null_aware", _not_in, "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 2 = 0)")
+add("anti_join_null_aware", _not_in, "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 add("scalar_subquery", lambda t: t.customer.crossJoin(F.broadcast(t.customer.agg(F.avg("c_acctbal").alias("a")))).where("c_acctbal > a").select("c_custkey"), "SELECT c_custkey FROM customer WHERE c_acctbal > (SELECT avg(c_acctbal) FROM customer)")
 add("correlated_subquery", lambda t: t.customer.join(t.orders.groupBy("o_custkey").agg(F.max(F.to_date("o_orderdate")).alias("last")), F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "last"), "SELECT c_custkey, (SELECT max(o_orderdate::DATE) FROM orders WHERE o_custkey = c_custkey) AS last FROM customer")
 

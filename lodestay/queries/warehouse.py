@@ -181,16 +181,20 @@ def add(name: str, query, sql: str | None) -> None:
     registry.add(name, lambda spark, d: flat(query(spark, d)), None if sql is None else LAYERS + " " + sql)
 
 
-add("stg_listings", lambda s, d: clean.stg_listings(bridge.raw_listings(s, d)).select("listing_id", "host_id", "listing_name", "host_is_superhost", "latitude", "longitude", "property_type", "room_type", "accommodates", "price_raw", "minimum_nights", "maximum_nights", "instant_bookable", "record_hash"),
-    f"SELECT id AS listing_id, host_id, name AS listing_name, host_is_superhost = 't' AS host_is_superhost, {r('latitude::DECIMAL(10,6)')} AS latitude, {r('longitude::DECIMAL(10,6)')} AS longitude, trim(property_type) AS property_type, trim(room_type) AS room_type, accommodates, {BARE} AS price_raw, minimum_nights, maximum_nights, instant_bookable = 't' AS instant_bookable, {LISTING_HASH} AS record_hash FROM raw_listings")
+_SAME = ("name AS listing_name", "host_name", "neighbourhood_cleansed", "bathrooms_text", "amenities", "license", "host_listings_count", "accommodates", "bedrooms", "beds", "minimum_nights", "maximum_nights", *clean.HOST_COUNTS)
+_BOTH = f"id AS listing_id, host_id, {', '.join(_SAME)}, host_is_superhost = 't' AS host_is_superhost, instant_bookable = 't' AS instant_bookable, {r('latitude::DECIMAL(10,6)')} AS latitude, {r('longitude::DECIMAL(10,6)')} AS longitude, trim(property_type) AS property_type, trim(room_type) AS room_type, last_scraped, _ingested_at, {LISTING_HASH} AS record_hash"
+_stamps = lambda df: df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("last_scraped", "_ingested_at")})
+_STAMPS = "* REPLACE (strftime(last_scraped, '%Y-%m-%d %H:%M:%S') AS last_scraped, strftime(_ingested_at, '%Y-%m-%d %H:%M:%S') AS _ingested_at)"
+add("stg_listings", lambda s, d: _stamps(clean.stg_listings(bridge.raw_listings(s, d))),
+    f"SELECT {_STAMPS} FROM (SELECT {_BOTH}, host_since, host_location, host_response_time, host_response_rate, host_acceptance_rate, {BARE} AS price_raw FROM raw_listings)")
 add("stg_reviews", lambda s, d: clean.stg_reviews(bridge.raw_reviews(s, d)).drop("review_text", "_ingested_at"),
     f"SELECT id AS review_id, listing_id, reviewer_id, reviewer_name, date AS review_date, {_hash('id', 'listing_id', 'date', 'comments')} AS record_hash FROM raw_reviews")
 add("stg_calendar", lambda s, d: clean.stg_calendar(bridge.raw_calendar(s, d)).drop("_ingested_at"),
     f"SELECT listing_id, date AS calendar_date, available, price, adjusted_price, minimum_nights, maximum_nights, {_hash('listing_id', 'date', 'available', 'price', 'minimum_nights', 'maximum_nights')} AS record_hash FROM raw_calendar")
 add("clean_calendar", lambda s, d: clean.clean_calendar(clean.stg_calendar(bridge.raw_calendar(s, d))).drop("_ingested_at"),
     f"SELECT listing_id, calendar_date, is_available, {r('price')} AS price, {r('adjusted_price')} AS adjusted_price, minimum_nights, maximum_nights, day_of_week, month_num, year_num, is_weekend, record_hash FROM cal")
-add("clean_listings", lambda s, d: listings(s, d).select("listing_id", "host_id", "host_city", "host_country", "host_since", "host_response_time_category", "host_response_time_hours", "host_response_rate_pct", "host_acceptance_rate_pct", "host_quality_score", "price", "record_hash", "data_quality_check"),
-    f"SELECT id AS listing_id, host_id, {CITY} AS host_city, {COUNTRY} AS host_country, {_day('host_since')} AS host_since, {CATEGORY} AS host_response_time_category, {HOURS} AS host_response_time_hours, {r(_rate)} AS host_response_rate_pct, {r(_acc)} AS host_acceptance_rate_pct, {SCORE} AS host_quality_score, {r(f"CASE WHEN regexp_matches(trim({BARE}), {NUM}) THEN try_cast(trim({BARE}) AS DECIMAL(12,2)) END")} AS price, {LISTING_HASH} AS record_hash, {QUALITY} AS data_quality_check FROM raw_listings")
+add("clean_listings", lambda s, d: _stamps(listings(s, d)),
+    f"SELECT {_STAMPS} FROM (SELECT {_BOTH}, {CITY} AS host_city, {COUNTRY} AS host_country, {_day('host_since')} AS host_since, {CATEGORY} AS host_response_time_category, {HOURS} AS host_response_time_hours, {r(_rate)} AS host_response_rate_pct, {r(_acc)} AS host_acceptance_rate_pct, {SCORE} AS host_quality_score, {r(f'CASE WHEN regexp_matches(trim({BARE}), {NUM}) THEN try_cast(trim({BARE}) AS DECIMAL(12,2)) END')} AS price, {QUALITY} AS data_quality_check FROM raw_listings)")
 add("parse_location", lambda s, d: bridge.raw_listings(s, d).select("id", clean.host_city().alias("host_city"), clean.host_country().alias("host_country")), f"SELECT id, {CITY} AS host_city, {COUNTRY} AS host_country FROM raw_listings")
 add("parse_date_formats", lambda s, d: bridge.raw_listings(s, d).select("id", clean.day("host_since").alias("host_since")), f"SELECT id, {_day('host_since')} AS host_since FROM raw_listings")
 add("response_time_category", lambda s, d: bridge.raw_listings(s, d).select("id", clean.response_category().alias("category"), clean.response_hours().alias("hours")), f"SELECT id, {CATEGORY} AS category, {HOURS} AS hours FROM raw_listings")
@@ -200,7 +204,20 @@ add("listing_quality_label", lambda s, d: clean.stg_listings(bridge.raw_listings
 add("clean_reviews", lambda s, d: cleaned_reviews(s, d).drop("review_text", "_ingested_at"), "SELECT review_id, listing_id, reviewer_id, reviewer_name, review_date, review_length, sentiment, record_hash, data_quality_check FROM rq")
 add("sentiment_keywords", lambda s, d: cleaned_reviews(s, d).groupBy("sentiment").agg(F.count("*").alias("n")), "SELECT sentiment, count(*) AS n FROM rc GROUP BY sentiment")
 add("review_quality_label", lambda s, d: cleaned_reviews(s, d).groupBy("data_quality_check").agg(F.count("*").alias("n")), "SELECT data_quality_check, count(*) AS n FROM rq GROUP BY ALL")
-add("fct_calendar_daily", lambda s, d: calendar(s, d).select("listing_id", "calendar_date", "is_available", "price", "day_of_week", "is_weekend", "price_change_from_previous_day"), f"SELECT listing_id, calendar_date, is_available, {r('price')} AS price, day_of_week, is_weekend, {r('price_change_from_previous_day')} AS price_change_from_previous_day FROM fct")
+_CALENDAR_SQL = f"SELECT listing_id, calendar_date, is_available, {r('price')} AS price, day_of_week, is_weekend, {r('price_change_from_previous_day')} AS price_change_from_previous_day FROM fct"
+add("fct_calendar_daily", lambda s, d: calendar(s, d).select("listing_id", "calendar_date", "is_available", "price", "day_of_week", "is_weekend", "price_change_from_previous_day"), _CALENDAR_SQL)
+
+
+def _in_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The facts in three loads, of which the second brings a month again."""
+    days = clean.clean_calendar(clean.stg_calendar(bridge.raw_calendar(spark, d)))
+    facts = marts.fct_calendar_daily(days.where("calendar_date < '1999-01-01'"))
+    for low, high in (("1998-12-01", "2000-06-01"), ("2000-06-01", "2100-01-01")):
+        facts = marts.fct_calendar_incremental(facts, days.where(f"calendar_date >= '{low}' AND calendar_date < '{high}'"))
+    return facts.select("listing_id", "calendar_date", "is_available", "price", "day_of_week", "is_weekend", "price_change_from_previous_day")
+
+
+add("fct_calendar_incremental", _in_batches, _CALENDAR_SQL)
 add("fct_reviews", lambda s, d: reviews(s, d).drop("review_text", "_ingested_at"), "SELECT md5(review_id::VARCHAR) AS review_sk, review_id, listing_id, reviewer_id, reviewer_name, review_date, year(review_date)::INT AS review_year, month(review_date)::INT AS review_month, day(review_date)::INT AS review_day, rpad(dayname(review_date), 9, ' ') AS review_day_of_week, review_length, sentiment, record_hash FROM rv")
 _rev = f"SELECT reviewer_id, reviewer_name, min({_day('date')}) AS first_review_date, max({_day('date')}) AS last_review_date, count(*) AS total_reviews, count(DISTINCT listing_id) AS unique_listings_reviewed, CASE WHEN count(*) >= 10 THEN 'frequent' WHEN count(*) >= 3 THEN 'regular' ELSE 'new' END AS reviewer_tier FROM raw_reviews GROUP BY reviewer_id, reviewer_name"
 add("dim_reviewers", lambda s, d: marts.dim_reviewers(clean.stg_reviews(bridge.raw_reviews(s, d))), _rev)

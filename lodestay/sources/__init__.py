@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestay.functions import count_of
+from lodestay.operators.checks import declared_types, takes
 
 BATCH = "_batch_id"
 
@@ -30,7 +34,8 @@ def entity(path: str | Column) -> Column:
 
 
 def fingerprints(spark: SparkSession, path: str, glob: str = "*.csv.gz") -> DataFrame:
-    """(file_name, file_hash, size) of the files under a path, hashed as stored."""
+    """(file_name, file_hash, size) of the files under a path, hashed as stored. A file is one value in its task, so files
+    of over 2 GB can't be hashed this way, and executors need memory for the largest."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     return files.select(F.col("path").alias("file_name"), F.md5("content").alias("file_hash"), F.col("length").alias("file_size_bytes"))
 
@@ -62,6 +67,60 @@ def append_batch(df: DataFrame, path: str, batch_id: str, file_name: str, ingest
     return batch_rows(df.sparkSession.read.parquet(path), batch_id)
 
 
+METRICS = "file_name string, table_name string, batch_id string, file_hash string, start_time timestamp, end_time timestamp, processing_status string, rows_processed long, rows_inserted long, rows_updated long, rows_failed long, file_size_bytes long, error_message string, load_duration_seconds double"
+
+
+def folder(spark: SparkSession, path: str):
+    """Hadoop's view of a path: (file system, path)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = folder(spark, path)
+    return files.exists(at)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METRICS).parquet(path) if exists(spark, path) else spark.createDataFrame([], METRICS)
+
+
+def load(df: DataFrame, path: str, metrics: str, table_name: str, batch_id: str, file_name: str, file_hash: str | None = None, file_size: int = 0, ingested_at: Column | None = None) -> str:
+    """Append a file as a batch and write a row of metrics; the status is COMPLETED, or SKIPPED where the metrics have the
+    same file as completed. A file whose types the stored table doesn't take, or that fails, gets a FAILED row, and raises."""
+    spark = df.sparkSession
+    began, clock = datetime.now(UTC), time.monotonic()
+
+    def record(status: str, rows: int = 0, error: str | None = None) -> str:
+        row = (file_name, table_name, batch_id, file_hash, began, datetime.now(UTC), status, rows, rows, 0, 0, file_size, error, time.monotonic() - clock)
+        spark.createDataFrame([row], METRICS).coalesce(1).write.mode("append").parquet(metrics)
+        return status
+
+    done = read_metrics(spark, metrics).where((F.col("file_name") == file_name) & F.col("file_hash").eqNullSafe(F.lit(file_hash)) & (F.col("processing_status") == "COMPLETED"))
+    if not done.isEmpty():
+        return record("SKIPPED")
+    try:
+        if exists(spark, path):
+            stored = declared_types(spark.read.parquet(path))
+            wrong = {c: (stored[c], t) for c, t in declared_types(df).items() if c in stored and not takes(stored[c], t)}
+            if wrong:
+                raise ValueError(f"types that the stored table doesn't take (stored, new): {wrong}")
+        return record("COMPLETED", append_batch(df, path, batch_id, file_name, ingested_at))
+    except Exception as e:
+        record("FAILED", error=str(e)[:1000])
+        raise
+
+
+def drop_batches(spark: SparkSession, path: str, batches: DataFrame) -> int:
+    """Delete the partitions of the batches named (_batch_id), each as a whole; how many there were. Names reach the driver,
+    one a batch, as the folders are deleted there."""
+    dropped = 0
+    for row in batches.select(BATCH).distinct().toLocalIterator():
+        files, at = folder(spark, f"{path}/{BATCH}={row[0]}")
+        dropped += bool(files.delete(at, True))
+    return dropped
+
+
 def batch_rows(table: DataFrame, batch_id: str) -> int:
     return table.where(F.col(BATCH) == batch_id).count()
 
@@ -92,6 +151,8 @@ def work_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share; a temporary one only where the session names none."""
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/work-{uuid.uuid4().hex}"

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestay.operators.incremental import upsert
-from lodestay.sources import BATCH, entity
+from lodestay.operators.incremental import latest
+from lodestay.sources import BATCH, entity, exists
 
 
 def run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -34,14 +34,24 @@ def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoin
     return run(files, write, checkpoint)
 
 
-def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Micro-batches merged into a keyed table kept as numbered versions; the newest complete version is the table."""
+def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str, order: list[Column], buckets: int = 64) -> StreamingQuery:
+    """Micro-batches merged into a keyed table: of each key the last row stays (order: what comes first wins), whenever it came.
 
-    def write(batch: DataFrame, number: int) -> None:
+    The table is kept in buckets by a hash of the keys, and a micro-batch writes only the buckets that it touches. They are
+    replaced when all are written; a batch that is run again after a failure changes nothing.
+    """
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        latest = batch.dropDuplicates(keys)
-        merged = latest if number == 0 else upsert(spark.read.parquet(f"{target}/v{number - 1:08d}"), latest, keys)
-        merged.write.mode("overwrite").parquet(f"{target}/v{number:08d}")
+        fresh = latest(batch, keys, *order).withColumn("_bucket", number).persist()
+        touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # at most `buckets`
+        merged = fresh
+        if exists(spark, target):
+            old = spark.read.parquet(target).where(F.col("_bucket").isin(touched)).select(*fresh.columns)
+            merged = latest(old.unionByName(fresh), keys, *order)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(target)
+        fresh.unpersist()
 
     return run(stream, write, checkpoint)
 

@@ -9,17 +9,22 @@ def test_arrays_and_json(spark):
 
 
 def test_timestamp_formats(spark):
-    good = spark.createDataFrame([("2024-01-01",), (None,)], "c string")
-    mixed = spark.createDataFrame([("2024-01-01",), ("01/31/2024",)], "c string")
-    assert checks.timestamp_formats(good, "c").first().valid and not checks.timestamp_formats(mixed, "c").first().valid
+    one = lambda *values: checks.timestamp_formats(spark.createDataFrame([(v,) for v in values], "c string"), "c").first()
+    assert one("2024-01-01", None).valid and one("2024-01-01T10:00:00.5", "2024-01-01T10:00:00.123456").valid and one("2024-01-01 10:00:00").valid
+    assert not one("2024-01-01", "01/31/2024").valid and not one("01/31/2024").valid and not one("2024-01-01", "2024-01-01 10:00:00").valid
 
 
 def test_types_and_columns(spark):
-    df = spark.createDataFrame([(1, 1.0, "x", True)], "a int, b double, c string, d boolean")
-    assert checks.infer_types(df) == {"a": "BIGINT", "b": "DOUBLE PRECISION", "c": "TEXT", "d": "BOOLEAN"}
-    got = checks.compatible(checks.infer_types(df), {"a": "INTEGER", "b": "BIGINT", "c": "TEXT", "e": "TEXT"})
-    assert [x[3] for x in got] == ["narrowing", "incompatible", "same"]
-    assert checks.missing_columns(df, ["a", "z"]) == ["z"]
+    rows = [(1, 1.0, "x", True, "12", "1.5", "2024-01-01", "t", '{"a": 1}', None, (1,)), (2, None, "7", None, "-3", "2", None, "false", "[2]", None, (2,))]
+    df = spark.createDataFrame(rows, "a int, b double, c string, d boolean, e string, f string, g string, h string, i string, j string, k struct<x: int>")
+    want = {"a": "BIGINT", "b": "DOUBLE PRECISION", "c": "TEXT", "d": "BOOLEAN", "e": "BIGINT", "f": "DOUBLE PRECISION", "g": "DATE", "h": "BOOLEAN", "i": "JSONB", "j": "TEXT", "k": "JSONB"}
+    types = checks.infer_types(df)
+    assert {r.column_name: r.logical_type for r in types.collect()} == want and {r.column_name: r.filled for r in types.collect()}["b"] == 1
+    stored = {"a": "INTEGER", "b": "BIGINT", "c": "TEXT", "e": "NUMERIC", "f": "TEXT", "g": "TIMESTAMP WITH TIME ZONE", "i": "JSON", "z": "TEXT"}
+    got = {r.column_name: r.verdict for r in checks.compatible(types, stored).collect()}
+    assert got == {"a": "narrowing", "b": "incompatible", "c": "same", "e": "compatible", "f": "incompatible", "g": "incompatible", "i": "compatible"}
+    assert all(checks.takes(stored[c], want[c]) == (v != "incompatible") for c, v in got.items())
+    assert [tuple(r) for r in checks.required_columns(df, ["a", "b", "z"]).collect()] == [("a", True, 2), ("b", True, 1), ("z", False, 0)]
 
 
 def test_counts(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lodestay import sources, streaming
 from lodestay.functions import record_hash
 from lodestay.operators import incremental as inc
+from lodestay.operators import marts
 
 
 def batch(spark, rows, stamp):
@@ -79,3 +80,51 @@ def test_stream_ingest_reads_a_file_once(spark):
     one.write.mode("append").option("header", True).option("compression", "gzip").csv(f"{work}/in/reviews")
     ingest()
     assert count() == 4
+
+
+def test_stream_upsert_keeps_the_newest_row_whenever_it_comes(spark):
+    work, schema = sources.work_dir(spark), "k int, v string, at int"
+    run = lambda: streaming.upsert_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in"), f"{work}/out", ["k"], f"{work}/cp", [F.desc("at"), F.asc("v")], buckets=4)
+    put = lambda *rows: spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    read = lambda: sorted((r.k, r.v, r.at) for r in spark.read.parquet(f"{work}/out").collect())
+    put((1, "a", 5), (2, "b", 5), (2, "c", 5), (3, "d", 1))
+    run()
+    assert read() == [(1, "a", 5), (2, "b", 5), (3, "d", 1)]
+    put((1, "late", 4), (3, "new", 2))
+    put((4, "x", 1))
+    run()
+    assert read() == [(1, "a", 5), (2, "b", 5), (3, "new", 2), (4, "x", 1)]
+
+
+def test_facts_in_batches_are_those_of_one_load(spark):
+    random.seed(5)
+    rows = [(i, f"2024-01-{d:02d}", random.randrange(50, 99)) for i in range(6) for d in range(1, 29) if random.random() < 0.8]
+    days = spark.createDataFrame(rows, "listing_id long, d string, price int").select("listing_id", F.to_date("d").alias("calendar_date"), "price")
+    newer = days.where("calendar_date < '2024-01-20'").withColumn("price", F.col("price") + 7)
+    batches = [days.where("calendar_date < '2024-01-10' AND listing_id < 4"), newer.where("calendar_date BETWEEN '2024-01-08' AND '2024-01-19' AND listing_id > 1"), days.where("calendar_date = '2024-01-03' AND listing_id = 5"), days.where("calendar_date > '2024-01-21'")]
+    facts, held = marts.fct_calendar_daily(batches[0]), {(r.listing_id, r.calendar_date): r.price for r in batches[0].collect()}
+    for b in batches[1:]:
+        facts = sources.materialize(marts.fct_calendar_incremental(facts, b), "table", "facts", sources.work_dir(spark))
+        held |= {(r.listing_id, r.calendar_date): r.price for r in b.collect()}
+    want = marts.fct_calendar_daily(spark.createDataFrame([(i, d, p) for (i, d), p in held.items()], "listing_id long, calendar_date date, price int"))
+    assert sorted(map(tuple, facts.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_loads_are_recorded_and_expire(spark):
+    work = sources.work_dir(spark)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    load = lambda d, k, h: sources.load(d, f"{work}/t", f"{work}/m", "t", f"b{k}", f"f{k}", h)
+    assert [load(df, 1, "x"), load(df, 1, "x"), load(df.limit(1), 1, "y"), load(df, 2, None), load(df, 2, None)] == ["COMPLETED", "SKIPPED", "COMPLETED", "COMPLETED", "SKIPPED"]
+    with pytest.raises(ValueError, match="id"):
+        load(df.selectExpr("'x' AS id", "name"), 3, "z")
+    rows = sources.read_metrics(spark, f"{work}/m").collect()
+    assert sorted((r.batch_id, r.processing_status, r.rows_processed) for r in rows) == [("b1", "COMPLETED", 1), ("b1", "COMPLETED", 2), ("b1", "SKIPPED", 0), ("b2", "COMPLETED", 2), ("b2", "SKIPPED", 0), ("b3", "FAILED", 0)]
+    assert all(r.end_time >= r.start_time and r.load_duration_seconds >= 0 for r in rows)
+    assert sources.drop_batches(spark, f"{work}/t", spark.createDataFrame([("b1",), ("gone",)], "_batch_id string")) == 1
+    assert {r[0]: r[1] for r in sources.batch_counts(spark.read.parquet(f"{work}/t")).collect()} == {"b2": 2}
+
+
+def test_log_folds_whatever_the_batches(spark):
+    log = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (2, "c", 2), (1, "d", 2)], "k int, v string, at int")
+    one = inc.upsert_log(inc.latest(log.where("at = 3"), ["k"], F.desc("at")), log.where("at < 3"), ["k"], F.desc("at"))
+    assert sorted(map(tuple, one.collect())) == [(1, "b", 3), (2, "c", 2)]
