@@ -23,7 +23,8 @@ from lodestay.llm.common import documents, materialize, shield, unshield, words
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 20_000  # of a source, summed in order by one task
+RANGE_ROWS = 2_000  # of the queue, likewise
 MOST_BROADCAST = 1 << 20  # rows
 ADDED = ("size", "source_size", "target", "taken", "finish")
 
@@ -62,7 +63,7 @@ class Plan:
         self.epochs = epochs
         counts = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
         largest, rows, budget = counts.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
-        self.budget, self.ranges = budget, max(1, math.ceil(rows / BUCKET_ROWS))
+        self.budget, self.ranges = budget, max(1, math.ceil(rows / RANGE_ROWS))
         self.digits = max(1, math.ceil(math.log(max(1, largest / BUCKET_ROWS), 16)))
         # the sums of the buckets before, per source: one small row a bucket
         held = sizes.groupBy("source", F.substring("__key", 1, self.digits).alias("__at")).agg(F.sum("size").alias("held"))
@@ -100,7 +101,7 @@ def entries(rows: DataFrame, plan: Plan) -> DataFrame:
 def truncated(queue: DataFrame, plan: Plan) -> DataFrame:
     """queue with __kept: the words of each entry before the total budget is reached, in order of virtual time."""
     order = Window.partitionBy("__range").orderBy("__time", F.col("source").asc_nulls_last(), "__epoch", "__key", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    small = F.broadcast(plan.offsets) if plan.ranges <= MOST_BROADCAST else plan.offsets  # a row for BUCKET_ROWS documents
+    small = F.broadcast(plan.offsets) if plan.ranges <= MOST_BROADCAST else plan.offsets  # a row for RANGE_ROWS documents
     out = queue.join(small, F.col("__range") == F.col("__r"))
     before = F.col("__before") + F.sum("__sent").over(order) - F.col("__sent")
     return out.withColumn("__kept", F.greatest(F.lit(0), F.least(F.col("__sent"), F.lit(plan.budget) - before)).cast("long")).drop("__r", "__before")

@@ -92,6 +92,7 @@ def test_mix_reaches_targets(spark, counts, monkeypatch):
     r_text = {r[0]: r[1] for r in rows}
     md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)  # several buckets and ranges
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 5)
     got = mixing.schedule(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == len(rows)
     names = sorted({r.source for r in got if r.source}) + [None]
