@@ -95,7 +95,9 @@ def entries(rows: DataFrame, plan: Plan) -> DataFrame:
     finish = F.when(F.col("target") > 0, F.col("__through") / F.col("target")).otherwise(F.lit(1.0))
     left = F.greatest(F.lit(0), quota - (F.col("__through") - F.col("size")))
     out = out.withColumns({"__time": F.least(F.lit(1.0), finish), "__sent": F.when(F.col("__through") <= quota, F.col("size")).otherwise(left).cast("long")})
-    return out.withColumn("__range", F.floor(F.col("__time") * plan.ranges).cast("int")).drop("__through")
+    # what isn't sent adds nothing wherever it stands, so it is dealt over all ranges
+    anywhere = F.pmod(F.xxhash64("__key"), F.lit(plan.ranges))
+    return out.withColumn("__range", F.when(F.col("__sent") == 0, anywhere).otherwise(F.floor(F.col("__time") * plan.ranges)).cast("int")).drop("__through")
 
 
 def truncated(queue: DataFrame, plan: Plan) -> DataFrame:
