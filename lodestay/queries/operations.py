@@ -136,8 +136,8 @@ add("table_metadata", lambda s, d: reporting.table_metadata(_L(s, d)), f"SELECT
 add("file_status", lambda s, d: reporting.file_status(_L(s, d), "b7"), f"SELECT file_name, processing_status, rows_processed FROM {L} WHERE batch_id = 'b7' QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY start_time DESC, event_id DESC) = 1")
 add("ledger_latest", lambda s, d: reporting.ledger_latest(_L(s, d)).select("file_name", "batch_id", "event_id", "processing_status"), f"SELECT file_name, batch_id, event_id, processing_status FROM {L} QUALIFY row_number() OVER (PARTITION BY file_name, batch_id ORDER BY start_time DESC, event_id DESC) = 1")
 _part = lambda s, d, k: _L(s, d).where(F.col("event_id") % 3 == k)
-_newest = (F.desc("start_time"), F.desc("event_id"))
-add("ledger_upsert", lambda s, d: incremental.upsert_log(incremental.upsert_log(reporting.ledger_latest(_part(s, d, 1)), _part(s, d, 0), ["file_name", "batch_id"], *_newest), _part(s, d, 2), ["file_name", "batch_id"], *_newest).select("file_name", "batch_id", "event_id", "processing_status"),
+_newest = lambda: (F.desc("start_time"), F.desc("event_id"))
+add("ledger_upsert", lambda s, d: incremental.upsert_log(incremental.upsert_log(reporting.ledger_latest(_part(s, d, 1)), _part(s, d, 0), ["file_name", "batch_id"], *_newest()), _part(s, d, 2), ["file_name", "batch_id"], *_newest()).select("file_name", "batch_id", "event_id", "processing_status"),
     f"SELECT file_name, batch_id, event_id, processing_status FROM {L} QUALIFY row_number() OVER (PARTITION BY file_name, batch_id ORDER BY start_time DESC, event_id DESC) = 1")
 _DAILY = "concat(batch_id, '-', file_name, '-', CAST(CAST(start_time AS DATE) AS VARCHAR(10)))"
 add("retention_expired", lambda s, d: reporting.retention_expired(_L(s, d).withColumn("batch_id", F.expr(_DAILY)), at("2024-04-20 00:00:00")).select("table_name", "batch_id"), f"SELECT table_name, {_DAILY} AS batch_id FROM {L} GROUP BY ALL HAVING count(*) FILTER (processing_status = 'IN_PROGRESS') = 0 AND max(start_time) < TIMESTAMP '2024-04-20 00:00:00' - INTERVAL 90 DAYS")

@@ -41,3 +41,12 @@ def test_registry():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) > 150
+
+
+def test_the_registry_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 100"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], check=True, timeout=120)
