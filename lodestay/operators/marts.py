@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestay.functions import count_of, day, mean, month_name, ratio, rounded, sum_of, surrogate_key, weekday_name
+from lodestay.sources.keyed import Keyed
 
 STAYS = {"one_night": (1, 1, "1 Night"), "two_night": (2, 2, "2 Nights"), "three_to_six_night": (3, 6, "3-6 Nights"), "seven_plus_night": (7, None, "7+ Nights")}
 LEADS = {"last_minute": (None, 7), "short_lead": (8, 30), "medium_lead": (31, 90), "long_lead": (91, None)}
@@ -18,26 +21,33 @@ def between(c: str, low: int | None, high: int | None) -> Column:
 
 
 def fct_calendar_daily(clean: DataFrame) -> DataFrame:
-    """Daily facts with the price change from a listing's day before, 0 on its first."""
-    before = F.lag("price").over(Window.partitionBy("listing_id").orderBy("calendar_date"))
-    return clean.withColumn("price_change_from_previous_day", F.when(before.isNotNull(), F.col("price") - before).otherwise(0))
+    """Daily facts with the price change from a listing's day before, 0 on its first. A row without a date has no place in
+    that order: its change is 0, and it is no other row's day before."""
+    dated = F.col("calendar_date").isNotNull()
+    before = F.lag("price").over(Window.partitionBy("listing_id", dated).orderBy("calendar_date"))
+    return clean.withColumn("price_change_from_previous_day", F.when(dated & before.isNotNull(), F.col("price") - before).otherwise(0))
 
 
-def fct_calendar_incremental(facts: DataFrame, clean: DataFrame) -> DataFrame:
-    """facts after more cleaned days: new days are added, days that are there already replaced, and where the day before has
-    changed, the price change follows. Only listings with new days are worked on, from the last day before the first of them.
+def fct_calendar_incremental(facts: DataFrame | None, clean: DataFrame, deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """facts after more cleaned days: days that are there already are replaced, others added, and price changes follow, also
+    of the day after. The same rows as a computation anew, whatever the batches.
 
-    The same rows as a computation anew, whatever the batches; a listing's unchanged history is passed on as it is.
+    A row without a date replaces none and is replaced by none. Stored and new rows meet in one exchange by listing (deal,
+    where the caller has one), so either is read once; give it the stored rows of the listings concerned alone.
     """
-    first = clean.groupBy("listing_id").agg(F.min("calendar_date").alias("__first"))
-    days = facts.select(*clean.columns)
-    old = facts.join(first, "listing_id", "left")
-    before = old.where("calendar_date < __first").groupBy("listing_id").agg(F.max("calendar_date").alias("__tail"))
-    open_days = days.join(first, "listing_id").join(before, "listing_id", "left").where("calendar_date >= coalesce(__tail, __first)")
-    kept = open_days.join(clean.select("listing_id", "calendar_date"), ["listing_id", "calendar_date"], "left_anti")
-    again = fct_calendar_daily(kept.select(*clean.columns).unionByName(clean)).join(first, "listing_id").where("calendar_date >= __first")
-    settled = old.where("__first IS NULL OR calendar_date < __first")
-    return settled.select(*facts.columns).unionByName(again.select(*facts.columns))
+    if facts is None:
+        return fct_calendar_daily(deal(clean) if deal else clean)
+    both = facts.select(*clean.columns).withColumn("__new", F.lit(False)).unionByName(clean.withColumn("__new", F.lit(True)))
+    both = deal(both) if deal else both.repartition("listing_id")
+    again = F.max("__new").over(Window.partitionBy("listing_id", "calendar_date"))
+    kept = both.withColumn("__again", again).where("__new OR NOT __again OR calendar_date IS NULL")
+    return fct_calendar_daily(kept.drop("__new", "__again")).select(*facts.columns)
+
+
+def load_calendar(table: Keyed, clean: DataFrame, batch: int | None = None) -> bool:
+    """Cleaned days into the stored facts (a table by listing_id): only buckets with one of their listings are read and
+    written, each once. A numbered batch that is in already changes nothing."""
+    return table.merge(clean, fct_calendar_incremental, batch)
 
 
 def fct_reviews(clean: DataFrame) -> DataFrame:

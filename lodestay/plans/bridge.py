@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIRST_DAY, LAST_DAY = "1995-01-02", "2001-11-04"
 INGESTED = "timestamp '2001-11-05 00:00:00'"
 
 
@@ -66,7 +65,7 @@ CALENDAR_COLUMNS = {
     "_ingested_at": INGESTED,
 }
 CALENDAR_SQL = f"""SELECT {', '.join(f'{e} AS {n}' for n, e in CALENDAR_COLUMNS.items())} FROM
-  (SELECT s_suppkey AS listing_id, CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS d FROM supplier)
+  (SELECT s_suppkey AS listing_id, CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS d FROM supplier, (SELECT CAST(min(l_shipdate) AS DATE) AS first_day, CAST(max(l_shipdate) AS DATE) AS last_day FROM lineitem))
   LEFT JOIN (SELECT l_suppkey AS k, CAST(l_shipdate AS DATE) AS k1, max(CAST(l_extendedprice AS DECIMAL(12,2))) AS day_price, count(*) AS shipped FROM lineitem GROUP BY ALL) ON k = listing_id AND k1 = d
   LEFT JOIN (SELECT l_suppkey AS k2, min(CAST(l_extendedprice AS DECIMAL(12,2))) AS low_price FROM lineitem GROUP BY ALL) m ON k2 = listing_id"""
 
@@ -122,12 +121,14 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every day of every supplier; days with a shipment are taken. Shipments are summed by day before they are joined."""
+    """Every day of every supplier, from the first shipment of all to the last; days with a shipment are taken. Shipments are
+    summed by day before they are joined."""
     items = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("listing_id"), F.to_date("l_shipdate").alias("d"), F.col("l_extendedprice").cast("decimal(12,2)").alias("p"))
     days = items.groupBy("listing_id", "d").agg(F.max("p").alias("day_price"), F.min("p").alias("least"), F.count("*").alias("shipped"))
     low = days.groupBy("listing_id").agg(F.min("least").alias("low_price"))
     spine = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("listing_id")).join(low, "listing_id", "left")
-    spine = spine.withColumn("d", F.explode(F.sequence(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))))
+    first, last = (items.agg(f("d")).scalar() for f in (F.min, F.max))
+    spine = spine.withColumn("d", F.explode(F.sequence(first, last)))
     return _select(spine.join(days, ["listing_id", "d"], "left"), CALENDAR_COLUMNS)
 
 

@@ -13,6 +13,7 @@ from lodestay.operators import checks, incremental, marts, reporting
 from lodestay.plans import bridge
 from lodestay.plans.bridge import LEDGER_SQL, table
 from lodestay.queries import Registry, b, flat, r
+from lodestay.sources.keyed import Keyed
 
 registry = Registry()
 FIRST, SECOND, THIRD = "2002-01-01 00:00:00", "2002-02-01 00:00:00", "2002-03-01 00:00:00"
@@ -272,7 +273,7 @@ def _upserts(spark: SparkSession, d: str) -> DataFrame:
         rows.coalesce(1).write.mode("append").parquet(f"{work}/in")
     stream = spark.readStream.schema("c_custkey bigint, segment string, version int").option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
     streaming.upsert_stream(stream, f"{work}/customers", ["c_custkey"], f"{work}/checkpoint", [F.desc("version"), F.asc("segment")])
-    return spark.read.parquet(f"{work}/customers").drop("_bucket")
+    return Keyed(spark, f"{work}/customers", ["c_custkey"]).read()
 
 
 _version = "CASE WHEN c_custkey % 3 = 0 THEN 3 WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END"

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lodestay.operators import analyses, clean, marts
 from lodestay.plans import bridge
 from lodestay.queries import Registry, b, flat, r
+from lodestay.sources import work_dir
+from lodestay.sources.keyed import Keyed
 
 AS_OF = "2001-06-30"
 HOST = 7
@@ -208,16 +210,21 @@ _CALENDAR_SQL = f"SELECT listing_id, calendar_date, is_available, {r('price')} A
 add("fct_calendar_daily", lambda s, d: calendar(s, d).select("listing_id", "calendar_date", "is_available", "price", "day_of_week", "is_weekend", "price_change_from_previous_day"), _CALENDAR_SQL)
 
 
+_DATELESS = "CASE WHEN listing_id % 9 = 4 AND day_of_week = 3 AND month_num = 7 THEN NULL ELSE calendar_date END"
+
+
 def _in_batches(spark: SparkSession, d: str) -> DataFrame:
-    """The facts in three loads, of which the second brings a month again."""
-    days = clean.clean_calendar(clean.stg_calendar(bridge.raw_calendar(spark, d)))
-    facts = marts.fct_calendar_daily(days.where("calendar_date < '1999-01-01'"))
-    for low, high in (("1998-12-01", "2000-06-01"), ("2000-06-01", "2100-01-01")):
-        facts = marts.fct_calendar_incremental(facts, days.where(f"calendar_date >= '{low}' AND calendar_date < '{high}'"))
-    return facts.select("listing_id", "calendar_date", "is_available", "price", "day_of_week", "is_weekend", "price_change_from_previous_day")
+    """The facts as a stored table, in three loads of which the second brings a month again; some days have lost their date."""
+    days = clean.clean_calendar(clean.stg_calendar(bridge.raw_calendar(spark, d))).withColumn("__day", F.col("calendar_date")).withColumn("calendar_date", F.expr(_DATELESS))
+    table = Keyed(spark, f"{work_dir(spark)}/facts", ["listing_id"])
+    for batch, (low, high) in enumerate((("1900-01-01", "1999-01-01"), ("1998-12-01", "2000-06-01"), ("2000-06-01", "2100-01-01")), 1):
+        marts.load_calendar(table, days.where(f"__day >= '{low}' AND __day < '{high}'").drop("__day"), batch)
+    return table.read().select("listing_id", "calendar_date", "is_available", "price", "day_of_week", "is_weekend", "price_change_from_previous_day")
 
 
-add("fct_calendar_incremental", _in_batches, _CALENDAR_SQL)
+add("fct_calendar_incremental", _in_batches, f"""SELECT listing_id, calendar_date, is_available, {r('price')} AS price, day_of_week, is_weekend, {r('c')} AS price_change_from_previous_day FROM
+  (SELECT *, CASE WHEN calendar_date IS NOT NULL AND lag(price) OVER w IS NOT NULL THEN price - lag(price) OVER w ELSE 0 END AS c
+   FROM (SELECT * REPLACE ({_DATELESS} AS calendar_date) FROM cal) WINDOW w AS (PARTITION BY listing_id, calendar_date IS NULL ORDER BY calendar_date))""")
 add("fct_reviews", lambda s, d: reviews(s, d).drop("review_text", "_ingested_at"), "SELECT md5(review_id::VARCHAR) AS review_sk, review_id, listing_id, reviewer_id, reviewer_name, review_date, year(review_date)::INT AS review_year, month(review_date)::INT AS review_month, day(review_date)::INT AS review_day, rpad(dayname(review_date), 9, ' ') AS review_day_of_week, review_length, sentiment, record_hash FROM rv")
 _rev = f"SELECT reviewer_id, reviewer_name, min({_day('date')}) AS first_review_date, max({_day('date')}) AS last_review_date, count(*) AS total_reviews, count(DISTINCT listing_id) AS unique_listings_reviewed, CASE WHEN count(*) >= 10 THEN 'frequent' WHEN count(*) >= 3 THEN 'regular' ELSE 'new' END AS reviewer_tier FROM raw_reviews GROUP BY reviewer_id, reviewer_name"
 add("dim_reviewers", lambda s, d: marts.dim_reviewers(clean.stg_reviews(bridge.raw_reviews(s, d))), _rev)

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestay.operators.incremental import latest
-from lodestay.sources import BATCH, entity, exists
+from lodestay.sources import BATCH, entity
+from lodestay.sources.keyed import BUCKETS, Keyed, upsert_latest
 
 
 def run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -34,26 +34,14 @@ def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoin
     return run(files, write, checkpoint)
 
 
-def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str, order: list[Column], buckets: int = 64) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str, order: list[Column], buckets: int = BUCKETS) -> StreamingQuery:
     """Micro-batches merged into a keyed table: of each key the last row stays (order: what comes first wins), whenever it came.
 
-    The table is kept in buckets by a hash of the keys, and a micro-batch writes only the buckets that it touches. They are
-    replaced when all are written; a batch that is run again after a failure changes nothing.
+    A micro-batch writes the buckets that it touches beside the old ones and switches to them in one step; one that is run
+    again after a failure, before the switch or after it, gives the same table. Keyed(...).read() gives its rows.
     """
-    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = latest(batch, keys, *order).withColumn("_bucket", number).persist()
-        touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # at most `buckets`
-        merged = fresh
-        if exists(spark, target):
-            old = spark.read.parquet(target).where(F.col("_bucket").isin(touched)).select(*fresh.columns)
-            merged = latest(old.unionByName(fresh), keys, *order)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(target)
-        fresh.unpersist()
-
-    return run(stream, write, checkpoint)
+    table = Keyed(stream.sparkSession, target, keys, buckets)
+    return run(stream, lambda batch, number: table.merge(batch, upsert_latest(keys, *order), number), checkpoint)
 
 
 def dedup_stream(stream: DataFrame, keys: list[str], stamp: str, late: str) -> DataFrame:

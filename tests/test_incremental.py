@@ -7,6 +7,7 @@ from lodestay import sources, streaming
 from lodestay.functions import record_hash
 from lodestay.operators import incremental as inc
 from lodestay.operators import marts
+from lodestay.sources.keyed import Keyed
 
 
 def batch(spark, rows, stamp):
@@ -86,7 +87,7 @@ def test_stream_upsert_keeps_the_newest_row_whenever_it_comes(spark):
     work, schema = sources.work_dir(spark), "k int, v string, at int"
     run = lambda: streaming.upsert_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in"), f"{work}/out", ["k"], f"{work}/cp", [F.desc("at"), F.asc("v")], buckets=4)
     put = lambda *rows: spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{work}/in")
-    read = lambda: sorted((r.k, r.v, r.at) for r in spark.read.parquet(f"{work}/out").collect())
+    read = lambda: sorted((r.k, r.v, r.at) for r in Keyed(spark, f"{work}/out", ["k"]).read().collect())
     put((1, "a", 5), (2, "b", 5), (2, "c", 5), (3, "d", 1))
     run()
     assert read() == [(1, "a", 5), (2, "b", 5), (3, "d", 1)]
