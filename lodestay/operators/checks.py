@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -151,3 +152,59 @@ def verify_range(df: DataFrame, key: str, low: int, high: int, rules: Sequence[t
     counts = held.agg(F.count("*").alias("rows"), *[F.count_if(~F.coalesce(F.expr(cond), F.lit(False))).alias(f"f{i}") for i, (_, cond, _) in enumerate(rules)])
     listed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("message"), F.col(f"f{i}").alias("failures")) for i, (c, _, m) in enumerate(rules)])
     return counts.select("rows", F.explode(listed).alias("r")).select("rows", "r.*")
+
+
+# Rules that a load measures while it writes.
+
+
+@dataclass(frozen=True)
+class Rule:
+    """failures is an aggregate over a batch; fails, where the rule is one of rows, tells which break it. Only a fatal rule
+    keeps the batch out."""
+
+    name: str
+    failures: Column
+    fails: Column | None = None
+    fatal: bool = True
+
+
+def row_rule(name: str, fails: Column | str, fatal: bool = True) -> Rule:
+    """A row breaks the rule where the condition is true; unknown is no failure."""
+    condition = F.expr(fails) if isinstance(fails, str) else fails
+    return Rule(name, F.count_if(F.coalesce(condition, F.lit(False))), condition, fatal)
+
+
+def not_null_rule(c: str, at_least: float = 1.0, fatal: bool = True) -> Rule:
+    """At least a share of the batch's rows has a value; the failures are the rows without one, or none where the share is reached."""
+    empty, n = F.count_if(F.col(c).isNull()), F.count(F.lit(1))
+    reached = F.count(F.col(c)).cast("double") >= n * F.lit(at_least)
+    return Rule(f"not_null:{c}", F.when(reached, F.lit(0).cast("long")).otherwise(empty), F.col(c).isNull() if at_least >= 1 else None, fatal)
+
+
+def accepted_rule(c: str, values: Sequence, fatal: bool = True) -> Rule:
+    return row_rule(f"accepted:{c}", ~F.col(c).isin(list(values)), fatal)
+
+
+def range_rule(c: str, low=None, high=None, fatal: bool = True) -> Rule:
+    bad = F.lit(False) if low is None else F.col(c) < low
+    return row_rule(f"range:{c}", bad if high is None else bad | (F.col(c) > high), fatal)
+
+
+def email_rule(c: str, fatal: bool = True) -> Rule:
+    return row_rule(f"email:{c}", F.col(c).isNotNull() & ~F.col(c).rlike(EMAIL), fatal)
+
+
+def type_rules(declared: dict[str, str], as_of: Column) -> list[Rule]:
+    """The rules of text columns that are declared as something else: one timestamp format reads all values, and none is after
+    as_of; JSON parses (null counts as invalid); arrays have matching brackets (null likewise)."""
+    out = []
+    for c, kind in declared.items():
+        if "TIMESTAMP" in kind:
+            read = [F.try_to_timestamp(F.col(c), F.lit(f)) for f in TIMESTAMP_FORMATS]
+            out.append(Rule(f"timestamp:{c}", F.least(*[F.count_if(F.col(c).isNotNull() & x.isNull()) for x in read])))
+            out.append(row_rule(f"future:{c}", F.coalesce(*read) > as_of))
+        elif "JSON" in kind:
+            out.append(row_rule(f"json:{c}", F.try_parse_json(F.col(c)).isNull()))
+        elif "[]" in kind:
+            out.append(row_rule(f"array:{c}", array_items(c).isNull()))
+    return out

@@ -165,7 +165,7 @@ def clean_listings(stg: DataFrame) -> DataFrame:
         percent("host_acceptance_rate").alias("host_acceptance_rate_pct"),
         quality_score().alias("host_quality_score"),
         *("host_is_superhost", "host_listings_count", "neighbourhood_cleansed", "latitude", "longitude", "property_type", "room_type", "accommodates", "bathrooms_text", "bedrooms", "beds", "amenities"),
-        F.when(price.rlike(NUMBER), price.try_cast("decimal(12,2)")).alias("price"),
+        F.when(price.rlike(NUMBER), price.try_cast("decimal(10,2)")).alias("price"),
         *("minimum_nights", "maximum_nights", "license", "instant_bookable", *HOST_COUNTS, "last_scraped", "_ingested_at", "record_hash"),
         listing_quality().alias("data_quality_check"),
     )

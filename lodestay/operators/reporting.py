@@ -56,8 +56,8 @@ def retry_candidates(ledger: DataFrame, as_of: Column, k: int = 100, max_retries
 
 
 def retry_state(failures: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """A failure log folded by file and batch: count, last failure, and when to try again (never after the last try)."""
-    folded = failures.groupBy("file_name", "batch_id").agg(F.count("*").alias("retry_count"), F.max_by("event_id", F.struct("start_time", "event_id")).alias("last_failure"), F.max("start_time").alias("last_at"))
+    """A failure log folded by file and batch: count, last failure and its text, and when to try again (never after the last try)."""
+    folded = failures.groupBy("file_name", "batch_id").agg(F.count("*").alias("retry_count"), F.max_by("event_id", F.struct("start_time", "event_id")).alias("last_failure"), F.max_by("error_message", F.struct("start_time", "event_id")).alias("last_error"), F.max("start_time").alias("last_at"))
     return folded.withColumn("next_retry_at", F.when(F.col("retry_count") < max_retries, F.col("last_at") + F.expr(f"interval {BACK_OFF_MINUTES} minutes")))
 
 
@@ -67,10 +67,11 @@ def recovery_prune(points: DataFrame, as_of: Column, days: int = 7, max_retries:
 
 
 def table_metadata(ledger: DataFrame) -> DataFrame:
-    """Of each table: its last file and the rows of all its loads."""
-    totals = ledger.groupBy("table_name").agg(F.sum("rows_processed").alias("total_rows"))
-    last = latest(ledger.select("table_name", "file_name", "start_time", "event_id"), ["table_name"], F.desc("start_time"), F.desc("event_id"))
-    return last.select("table_name", F.col("file_name").alias("last_file_processed")).join(totals, "table_name")
+    """Of each table: when and by which file it was last loaded, and the rows of all its loads, in one grouping. With schemas:
+    lodestay.sources.loading.table_state."""
+    return ledger.groupBy("table_name").agg(
+        F.max_by("file_name", F.struct("start_time", "event_id")).alias("last_file_processed"), F.max("start_time").alias("processed_at"), F.sum("rows_processed").alias("total_rows")
+    )
 
 
 def file_status(ledger: DataFrame, batch: str) -> DataFrame:

@@ -100,6 +100,7 @@ LEDGER_COLUMNS = {
     "rows_failed": "CAST(event_id % 3 AS BIGINT)",
     "file_size_bytes": "CAST(floor(value * 1000) AS BIGINT)",
     "retry_count": "CAST(event_id % 5 AS INT)",
+    "error_message": "CASE WHEN event_type = 'error' THEN concat('row ', CAST(event_id % 997 AS VARCHAR(20)), ' is ', props) END",
     "event_id": "event_id",
 }
 LEDGER_SQL = f"SELECT {', '.join(f'{e} AS {n}' for n, e in LEDGER_COLUMNS.items())} FROM events"

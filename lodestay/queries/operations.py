@@ -13,6 +13,7 @@ from lodestay.operators import checks, incremental, marts, reporting
 from lodestay.plans import bridge
 from lodestay.plans.bridge import LEDGER_SQL, table
 from lodestay.queries import Registry, b, flat, r
+from lodestay.sources import loading
 from lodestay.sources.keyed import Keyed
 
 registry = Registry()
@@ -130,10 +131,10 @@ add("load_summary", lambda s, d: reporting.load_summary(_L(s, d)), f"SELECT coun
 add("load_operations", lambda s, d: reporting.load_operations(_L(s, d), "raw_reviews", ["b1", "b4", "b7"]).select("event_id", "file_name", "batch_id", "rows_processed"), f"SELECT event_id, file_name, batch_id, rows_processed FROM {L} WHERE table_name = 'raw_reviews' AND batch_id IN ('b1', 'b4', 'b7')")
 add("batch_status", lambda s, d: reporting.batch_status(_L(s, d)), f"SELECT batch_id, count(*) AS total, {_cnt('COMPLETED')} AS completed, {_cnt('FAILED')} AS failed, {_cnt('IN_PROGRESS')} AS in_progress, {_cnt('PENDING')} AS pending, {b('sum(rows_processed)')} AS rows, CASE WHEN {_cnt('FAILED')} > 0 THEN 'FAILED' WHEN {_cnt('COMPLETED')} = count(*) THEN 'COMPLETED' ELSE 'IN_PROGRESS' END AS status FROM {L} GROUP BY batch_id")
 add("retry_candidates", lambda s, d: reporting.retry_candidates(_L(s, d), at(NOW)).select("event_id", "processing_status"), f"SELECT event_id, processing_status FROM {L} WHERE processing_status = 'PENDING' OR processing_status = 'FAILED' AND retry_count < 3 AND start_time + to_minutes(retry_count * 5) <= TIMESTAMP '{NOW}' ORDER BY start_time, event_id LIMIT 100")
-add("retry_state", lambda s, d: reporting.retry_state(_L(s, d).where("processing_status = 'FAILED'")).select("file_name", "batch_id", "retry_count", "last_failure", F.date_format("next_retry_at", "yyyy-MM-dd HH:mm:ss").alias("next_retry_at")),
-    f"SELECT file_name, batch_id, count(*) AS retry_count, arg_max(event_id, (start_time, event_id)) AS last_failure, CASE WHEN count(*) < 3 THEN strftime(max(start_time) + INTERVAL 5 MINUTES, '%Y-%m-%d %H:%M:%S') END AS next_retry_at FROM {L} WHERE processing_status = 'FAILED' GROUP BY 1, 2")
+add("retry_state", lambda s, d: reporting.retry_state(_L(s, d).where("processing_status = 'FAILED'")).select("file_name", "batch_id", "retry_count", "last_failure", "last_error", F.date_format("next_retry_at", "yyyy-MM-dd HH:mm:ss").alias("next_retry_at")),
+    f"SELECT file_name, batch_id, count(*) AS retry_count, arg_max(event_id, (start_time, event_id)) AS last_failure, arg_max(error_message, (start_time, event_id)) AS last_error, CASE WHEN count(*) < 3 THEN strftime(max(start_time) + INTERVAL 5 MINUTES, '%Y-%m-%d %H:%M:%S') END AS next_retry_at FROM {L} WHERE processing_status = 'FAILED' GROUP BY 1, 2")
 add("recovery_prune", lambda s, d: reporting.recovery_prune(_L(s, d), at(NOW)).select("event_id"), f"SELECT event_id FROM {L} WHERE start_time < TIMESTAMP '{NOW}' - INTERVAL 7 DAYS AND (processing_status = 'COMPLETED' OR retry_count >= 3)")
-add("table_metadata", lambda s, d: reporting.table_metadata(_L(s, d)), f"SELECT table_name, arg_max(file_name, (start_time, event_id)) AS last_file_processed, {b('sum(rows_processed)')} AS total_rows FROM {L} GROUP BY 1")
+add("table_metadata", lambda s, d: reporting.table_metadata(_L(s, d)).withColumn("processed_at", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss")), f"SELECT table_name, arg_max(file_name, (start_time, event_id)) AS last_file_processed, strftime(max(start_time), '%Y-%m-%d %H:%M:%S') AS processed_at, {b('sum(rows_processed)')} AS total_rows FROM {L} GROUP BY 1")
 add("file_status", lambda s, d: reporting.file_status(_L(s, d), "b7"), f"SELECT file_name, processing_status, rows_processed FROM {L} WHERE batch_id = 'b7' QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY start_time DESC, event_id DESC) = 1")
 add("ledger_latest", lambda s, d: reporting.ledger_latest(_L(s, d)).select("file_name", "batch_id", "event_id", "processing_status"), f"SELECT file_name, batch_id, event_id, processing_status FROM {L} QUALIFY row_number() OVER (PARTITION BY file_name, batch_id ORDER BY start_time DESC, event_id DESC) = 1")
 _part = lambda s, d, k: _L(s, d).where(F.col("event_id") % 3 == k)
@@ -167,20 +168,66 @@ add("scan_glob", _scan, "SELECT o_orderstatus, count(*) AS rows, TRUE AS found,
 add("entity_from_path", lambda s, d: table(s, d, "orders").groupBy(sources.entity(F.concat(F.lit("s3://in/2024/Orders_"), "o_orderstatus", F.lit(".v1.csv.gz"))).alias("entity")).agg(F.count("*").alias("n")), "SELECT 'orders_' || lower(o_orderstatus) AS entity, count(*) AS n FROM orders GROUP BY 1")
 
 
+def _by_status(spark: SparkSession, d: str) -> str:
+    """The orders as gzipped CSV, a file for each status."""
+    path = f"{sources.work_dir(spark)}/raw"
+    for (status,) in _orders(spark, d).select("o_orderstatus").distinct().collect():
+        _orders(spark, d).where(F.col("o_orderstatus") == status).coalesce(1).write.option("header", True).option("compression", "gzip").csv(f"{path}/orders_{status}")
+    return path
+
+
 def _skip(spark: SparkSession, d: str) -> DataFrame:
-    files = sources.fingerprints(spark, written(spark, d))
-    done = files.withColumn("status", F.lit("COMPLETED"))
-    return sources.new_files(files, done).agg(F.count("*").alias("left")).crossJoin(sources.new_files(files, done.withColumn("status", F.lit("FAILED"))).agg((F.count("*") > 0).alias("again")))
+    """Files of final orders are in; those of open ones are not, as their load failed."""
+    path = _by_status(spark, d)
+    files = sources.fingerprints(spark, path)
+    done = files.withColumn("status", F.when(F.col("file_name").contains("orders_F"), "COMPLETED").otherwise("FAILED"))
+    left = [r[0] for r in sources.new_files(files, done).select("file_name").collect()]  # a file each
+    return sources.read_csv_gz(spark, left, ORDERS).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("keys"))
+
+
+add("skip_processed_files", _skip, f"SELECT o_orderstatus, count(*) AS n, {b('sum(o_custkey)')} AS keys FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")
+
+
+def _changed(spark: SparkSession, d: str) -> DataFrame:
+    """Files by status are loaded; then one comes again under another name, and another is replaced under its own."""
+    path, work = _by_status(spark, d), sources.work_dir(spark)
+    run = lambda: loading.ingest_changed(spark, path, ORDERS, f"{work}/bronze", f"{work}/files")
+    run()
+    put = lambda rows, name, mode: rows.coalesce(1).write.mode(mode).option("header", True).option("compression", "gzip").csv(f"{path}/{name}")
+    put(_orders(spark, d).where("o_orderstatus = 'F'"), "again", "append")
+    files, at = sources.folder(spark, next(f for f in spark.read.parquet(f"{work}/files").select("file_name").toPandas().file_name if "orders_O" in f))
+    more = _orders(spark, d).where("o_orderstatus = 'O' AND o_custkey % 2 = 0")
+    put(more, "replacement", "append")
+    new = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(f"{path}/replacement").select("path").first()[0]
+    files.delete(at, False)
+    files.rename(sources.folder(spark, new)[1], at)
+    run()
+    run()  # finds nothing
+    stored = spark.read.parquet(f"{work}/bronze").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    logged = loading.read_files(spark, f"{work}/files").agg(F.count_if(F.col("status") == "SKIPPED").alias("skipped"), F.sum("rows_processed").alias("logged"))
+    return stored.join(F.broadcast(logged))
+
+
+add("ingest_changed_files", _changed, f"""SELECT o_orderstatus, count(*) + count(*) FILTER (o_orderstatus = 'O' AND o_custkey % 2 = 0) AS n, 1 AS skipped,
+  (SELECT {b("count(*) + count(*) FILTER (o_orderstatus = 'O' AND o_custkey % 2 = 0)")} FROM orders) AS logged FROM orders GROUP BY 1""")
+
+
+def _inferred(spark: SparkSession, d: str) -> DataFrame:
+    """CSV without a schema: the types are found in the values, and sums need no cast."""
+    df = sources.read_csv_gz(spark, written(spark, d))
+    kinds = F.concat_ws(",", *[F.typeof(c) for c in df.columns])
+    return df.groupBy("o_orderstatus", kinds.alias("types")).agg(F.sum("o_orderkey").alias("order_keys"), F.sum("o_totalprice").alias("price"), F.max("o_custkey").cast("long").alias("customer"))
 
 
-add("skip_processed_files", _skip, "SELECT 0::BIGINT AS \"left\", TRUE AS again")
+_kind_of = lambda c: f"(SELECT CASE WHEN max({c}) < 2147483648 THEN 'int' ELSE 'bigint' END FROM orders)"
+add("scan_csv_inferred", _inferred, f"SELECT o_orderstatus, {_kind_of('o_orderkey')} || ',' || {_kind_of('o_custkey')} || ',string,double' AS types, {b('sum(o_orderkey)')} AS order_keys, {r('sum(o_totalprice)')} AS price, max(o_custkey) AS customer FROM orders GROUP BY 1")
 
 
 def _bronze(spark: SparkSession, d: str) -> DataFrame:
     path = f"{sources.work_dir(spark)}/bronze"
     for k in (0, 1):
-        sources.append_batch(_orders(spark, d).where(F.col("o_orderkey") % 2 == k), path, f"b{k}", f"orders_{k}.csv.gz", at(FIRST))
-    sources.append_batch(_orders(spark, d).where("o_orderkey % 2 = 1"), path, "b1", "orders_1.csv.gz", at(FIRST))  # again: replaces itself
+        loading.append_batch(_orders(spark, d).where(F.col("o_orderkey") % 2 == k), path, f"b{k}", f"orders_{k}.csv.gz", at(FIRST))
+    loading.append_batch(_orders(spark, d).where("o_orderkey % 2 = 1"), path, "b1", "orders_1.csv.gz", at(FIRST))  # again: replaces itself
     return spark.read.parquet(path)
 
 
@@ -191,10 +238,10 @@ add("batch_row_count", lambda s, d: sources.batch_counts(_bronze(s, d)), "SELECT
 def _rollback(spark: SparkSession, d: str) -> DataFrame:
     """A batch that fails while it is written leaves no rows."""
     path = f"{sources.work_dir(spark)}/bronze"
-    sources.append_batch(_orders(spark, d), path, "good", "orders.csv.gz", at(FIRST))
+    loading.append_batch(_orders(spark, d), path, "good", "orders.csv.gz", at(FIRST))
     broken = _orders(spark, d).withColumn("o_orderstatus", F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("broken row"))).otherwise(F.col("o_orderstatus")))
     try:
-        sources.append_batch(broken, path, "bad", "orders.csv.gz", at(FIRST))
+        loading.append_batch(broken, path, "bad", "orders.csv.gz", at(FIRST))
     except Exception as e:  # noqa: BLE001  the point of the query
         if "broken row" not in str(e):
             raise
@@ -205,22 +252,64 @@ add("bronze_rollback", _rollback, "SELECT 'good' AS _batch_id, count(*) AS rows
 add("materialize", lambda s, d: sources.materialize(_orders(s, d), "table", "orders", sources.work_dir(s)).join(sources.materialize(_orders(s, d), "view", "orders_view").select("o_orderkey"), "o_orderkey").agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM orders")
 
 
-def _loads(spark: SparkSession, d: str) -> DataFrame:
-    """Two files, the second once more, and one whose price is text: completed, completed, skipped, failed."""
-    path, metrics = (f"{sources.work_dir(spark)}/{x}" for x in ("bronze", "metrics"))
-    for k in (0, 1, 1):
-        sources.load(_orders(spark, d).where(F.col("o_orderkey") % 2 == k), path, metrics, "orders", f"b{k}", f"orders_{k}.csv.gz", f"hash{k}", ingested_at=at(FIRST))
-    try:
-        sources.load(_orders(spark, d).withColumn("o_totalprice", F.col("o_totalprice").cast("string")), path, metrics, "orders", "b2", "orders_2.csv.gz", "hash2")
-    except ValueError as e:
-        if "o_totalprice" not in str(e):
-            raise
+def _loads(spark: SparkSession, d: str) -> tuple[str, str, str]:
+    """Gzipped files of orders by remainder of four, with their digests. Two are loaded, the second once more; the next is
+    refused as its price is text, the last as some of its orders are too cheap."""
+    work = sources.work_dir(spark)
+    path, metrics, snapshots = (f"{work}/{x}" for x in ("bronze", "metrics", "snapshots"))
+    rules = [checks.row_rule("cheap", "o_totalprice < 1500 AND o_orderkey % 4 = 3"), checks.row_rule("dear", "o_totalprice > 300000", fatal=False), checks.not_null_rule("o_custkey")]
+    for k in (0, 1, 1, 2, 3):
+        name = f"orders_{k}.csv.gz"
+        if not sources.exists(spark, f"{work}/raw/{name}"):
+            _orders(spark, d).where(F.col("o_orderkey") % 4 == k).coalesce(1).write.option("header", True).option("compression", "gzip").csv(f"{work}/raw/{name}")
+        file = sources.fingerprints(spark, f"{work}/raw/{name}").first()  # one
+        rows = sources.read_csv_gz(spark, file.file_name, ORDERS)
+        rows = rows.withColumn("o_totalprice", F.col("o_totalprice").cast("string")) if k == 2 else rows.withColumn("source_quarter", F.lit(k)) if k == 1 else rows
+        try:
+            loading.load(rows, path, metrics, "orders", f"b{k}", name, file.file_hash, file.file_size_bytes, at(FIRST), ["o_orderkey", "o_custkey"], rules, snapshots)
+        except ValueError as e:
+            if "o_totalprice" not in str(e) and "cheap" not in str(e):
+                raise
+    return path, metrics, snapshots
+
+
+def _recorded(spark: SparkSession, d: str) -> DataFrame:
+    path, metrics, _ = _loads(spark, d)
     counts = sources.batch_counts(spark.read.parquet(path)).withColumnRenamed("rows", "stored")
-    return sources.read_metrics(spark, metrics).join(counts, F.col("batch_id") == F.col("_batch_id"), "left").select("file_name", "table_name", "batch_id", "processing_status", "rows_processed", "rows_inserted", "rows_failed", F.col("error_message").isNotNull().alias("failed"), F.coalesce("stored", F.lit(0)).alias("stored"))
+    shown = loading.read_metrics(spark, metrics).join(counts, F.col("batch_id") == F.col("_batch_id"), "left")
+    return shown.select("file_name", "table_name", "batch_id", "processing_status", "rows_processed", "rows_inserted", "rows_failed", "failed_rules", F.col("error_message").isNotNull().alias("failed"), F.length("file_hash").alias("digest"), F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+_CHEAP = "count(*) FILTER (o_totalprice < 1500 AND o_orderkey % 4 = 3)"
+
+
+def _quarter(k: int, status: str) -> str:
+    """The metrics of a file, from its orders; a file of which none breaks a rule would be stored in any case."""
+    n, read = f"count(*) FILTER (o_orderkey % 4 = {k})", status == "COMPLETED" or k == 3
+    dear = f"count(*) FILTER (o_totalprice > 300000 AND o_orderkey % 4 = {k})"
+    rules = [f"CASE WHEN {c} > 0 THEN '\"{name}\":' || {c} END" for name, c in (("cheap", _CHEAP if k == 3 else "0"), ("dear", dear))]
+    ok = f"({_CHEAP} = 0)" if k == 3 else str(status == "COMPLETED").upper()
+    stored = f"CASE WHEN {ok} THEN {n} ELSE 0 END"
+    return f"""SELECT 'orders_{k}.csv.gz' AS file_name, 'orders' AS table_name, 'b{k}' AS batch_id, {f"CASE WHEN {ok} THEN 'COMPLETED' ELSE 'FAILED' END" if k == 3 else f"'{status}'"} AS processing_status, {n if read else 0} AS rows_processed, {stored} AS rows_inserted,
+      {_CHEAP if k == 3 else 0} AS rows_failed, {f"'{{' || concat_ws(',', {', '.join(rules)}) || '}}'" if read else "'{}'"} AS failed_rules, {f"NOT {ok}" if k == 3 else str(status == "FAILED").upper()} AS failed, 32 AS digest, {n if k < 2 else stored} AS stored FROM orders"""
+
+
+add("load_with_metrics", _recorded, " UNION ALL ".join([_quarter(0, "COMPLETED"), _quarter(1, "COMPLETED"), _quarter(1, "SKIPPED"), _quarter(2, "FAILED"), _quarter(3, "FAILED")]))
+
+
+def _schemas(spark: SparkSession, d: str) -> DataFrame:
+    """What the loads left of the table's schema, and where the table stands."""
+    _, metrics, snapshots = _loads(spark, d)
+    kept = loading.read_snapshots(spark, snapshots)
+    now = loading.table_state(loading.read_metrics(spark, metrics), kept).select("table_name", "total_rows", F.col("last_file_processed").alias("last_file"), F.col("processed_at").isNotNull().alias("processed"))
+    return kept.select("table_name", "number", F.array_join("added", ",").alias("added"), F.size("removed").alias("removed"), F.col("last_file_processed").alias("file_name"), F.size(F.map_keys(F.from_json("schema_snapshot", "map<string,string>"))).alias("columns")).join(now, "table_name")
 
 
-_half = lambda k, status, n: f"SELECT 'orders_{k}.csv.gz' AS file_name, 'orders' AS table_name, 'b{k}' AS batch_id, '{status}' AS processing_status, {n} AS rows_processed, {n} AS rows_inserted, 0 AS rows_failed, {status == 'FAILED'} AS failed, count(*) FILTER (o_orderkey % 2 = {k}) AS stored FROM orders"
-add("load_with_metrics", _loads, " UNION ALL ".join([*[_half(k, "COMPLETED", f"count(*) FILTER (o_orderkey % 2 = {k})") for k in (0, 1)], _half(1, "SKIPPED", "0"), _half(2, "FAILED", "0")]))
+_OKS = f"(SELECT {_CHEAP} = 0 FROM orders)"
+_rows = f"(SELECT count(*) FROM orders WHERE o_orderkey % 4 < 2 OR {_OKS} AND o_orderkey % 4 = 3)"
+_cols = "(SELECT string_agg(column_name, ',' ORDER BY column_name) FROM (DESCRIBE SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders))"
+add("schema_snapshots", _schemas, f"""SELECT 'orders' AS table_name, number, CASE number WHEN 1 THEN {_cols} ELSE 'source_quarter' END AS added, 0 AS removed, 'orders_' || (number - 1) || '.csv.gz' AS file_name, number + 3 AS columns,
+  {_rows} AS total_rows, CASE WHEN {_OKS} THEN 'orders_3.csv.gz' ELSE 'orders_1.csv.gz' END AS last_file, TRUE AS processed FROM (SELECT unnest([1, 2]) AS number)""")
 
 
 def _expire(spark: SparkSession, d: str) -> DataFrame:

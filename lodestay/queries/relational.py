@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestay.functions import day, day_of_week, flag, mean, month_name, percent, ratio, record_hash, rounded, surrogate_key, weekday_name, whole_number
+from lodestay.functions import column_or, day, day_of_week, flag, mean, month_name, percent, ratio, record_hash, rounded, surrogate_key, weekday_name, whole_number
 from lodestay.plans.bridge import table
 from lodestay.queries import Registry, b, flat, r
 
@@ -61,7 +61,7 @@ add("optional_filter", lambda t: filtered(t.orders, "F").agg(F.count("*").alias(
 add("range_scan", lambda t: t.orders.where((F.col("o_orderkey") >= 100) & (F.col("o_orderkey") < 1100)).select("o_orderkey", "o_custkey").orderBy("o_orderkey"), "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey >= 100 AND o_orderkey < 1100")
 add("record_hash", lambda t: t.customer.select("c_custkey", record_hash("c_custkey", "c_name", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))).alias("h")), "SELECT c_custkey, md5(concat_ws('|', c_custkey::VARCHAR, c_name, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, ''))) AS h FROM customer")
 add("surrogate_key", lambda t: t.customer.select("c_custkey", surrogate_key("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))).alias("sk")), "SELECT c_custkey, md5(concat_ws('-', c_custkey::VARCHAR, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, '_null_'))) AS sk FROM customer")
-add("optional_column", lambda t: (lambda df: df.select("r_regionkey", (F.col("r_comment") if "r_comment" in df.columns else F.lit("none")).alias("comment")))(t.region), "SELECT r_regionkey, 'none' AS comment FROM region")
+add("optional_column", lambda t: (lambda df: df.select("r_regionkey", *[column_or(df, c, F.concat(F.lit("no "), "r_name")).alias(c) for c in ("r_name", "r_comment")]))(t.region), "SELECT r_regionkey, r_name, 'no ' || r_name AS r_comment FROM region")
 
 # Joins. A side is hinted for broadcast only where its size is fixed (nations, regions, one-row aggregates).
 add("join_inner", lambda t: t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("n")), "SELECT n_name, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")

@@ -123,7 +123,7 @@ def _ratio(a: str, c: str, scale: str = "1.0") -> str:
 _z = lambda c: f"coalesce({c}, 0)"
 LAYERS = f"""WITH raw_listings AS ({bridge.LISTINGS_SQL}), raw_calendar AS ({bridge.CALENDAR_SQL}), raw_reviews AS ({bridge.REVIEWS_SQL}), booked AS ({bridge.BOOKINGS_SQL}),
 li AS (SELECT id AS listing_id, name AS listing_name, host_id, host_name, neighbourhood_cleansed, trim(property_type) AS property_type, trim(room_type) AS room_type, accommodates,
-  CASE WHEN regexp_matches(trim({BARE}), {NUM}) THEN try_cast(trim({BARE}) AS DECIMAL(12,2)) END AS price FROM raw_listings),
+  CASE WHEN regexp_matches(trim({BARE}), {NUM}) THEN try_cast(trim({BARE}) AS DECIMAL(10,2)) END AS price FROM raw_listings),
 cal AS (SELECT listing_id, date::DATE AS calendar_date, available = 't' AS is_available, {_money("price")} AS price, {_money("adjusted_price")} AS adjusted_price, minimum_nights, maximum_nights, date_part('dow', date::DATE)::INT AS day_of_week,
   month(date::DATE)::INT AS month_num, year(date::DATE)::INT AS year_num, date_part('dow', date::DATE) IN (0, 6) AS is_weekend, {_hash("listing_id", "date", "available", "price", "minimum_nights", "maximum_nights")} AS record_hash FROM raw_calendar),
 fct AS (SELECT *, CASE WHEN lag(price) OVER w IS NOT NULL THEN price - lag(price) OVER w ELSE 0 END AS price_change_from_previous_day FROM cal WINDOW w AS (PARTITION BY listing_id ORDER BY calendar_date)),

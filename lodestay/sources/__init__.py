@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
-import time
 import uuid
-from collections.abc import Sequence
-from datetime import UTC, datetime
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestay.functions import count_of
-from lodestay.operators.checks import declared_types, takes
 
 BATCH = "_batch_id"
 
@@ -33,11 +33,52 @@ def entity(path: str | Column) -> Column:
     return F.lower(F.split_part(name, F.lit("."), F.lit(1)))
 
 
-def fingerprints(spark: SparkSession, path: str, glob: str = "*.csv.gz") -> DataFrame:
-    """(file_name, file_hash, size) of the files under a path, hashed as stored. A file is one value in its task, so files
-    of over 2 GB can't be hashed this way, and executors need memory for the largest."""
+def listing(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv.gz") -> DataFrame:
+    """(file_name, file_size_bytes, modified_at) of the files under a path; no file is opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("path").alias("file_name"), F.md5("content").alias("file_hash"), F.col("length").alias("file_size_bytes"))
+    return files.select(F.col("_metadata.file_path").alias("file_name"), F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("modified_at"))
+
+
+def fingerprints(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv.gz") -> DataFrame:
+    """listing() with file_hash, of each file's lines as they are after decompression.
+
+    A file streams through its task a batch of lines at a time, so neither is a file one value nor does its size matter. Files
+    that Spark splits (uncompressed ones) have a digest a block, and the file's is that of all in order; it then depends on
+    the session's block size. An empty file has the digest of no lines.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.file_block_start").alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        digest = hashlib.md5()
+
+        def ended() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"file_name": [held[0]], "at": [held[1]], "digest": [digest.hexdigest()]})
+
+        for batch in batches:
+            names, starts = batch.column("file_name"), batch.column("at")
+            values = batch.column("value").cast(pa.binary())
+            start = 0
+            while start < batch.num_rows:  # a task's rows come file by file, block by block
+                now = (names[start].as_py(), starts[start].as_py())
+                same = pc.and_(pc.equal(names, names[start]), pc.equal(starts, starts[start])).slice(start)
+                stop = pc.index(same, False).as_py()
+                stop = batch.num_rows if stop < 0 else start + stop
+                if held is not None and now != held:
+                    yield ended()
+                    digest = hashlib.md5()
+                held = now
+                for v in values.slice(start, stop - start).to_pylist():
+                    digest.update(v + b"\n")
+                start = stop
+        if held is not None:
+            yield ended()
+
+    blocks = lines.mapInArrow(run, "file_name string, at long, digest string")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "digest"))), lambda x: x["digest"]), ",")  # one a block of the file
+    digests = blocks.groupBy("file_name").agg(F.md5(joined).alias("file_hash"))
+    return listing(spark, path, glob).join(digests, "file_name", "left").withColumn("file_hash", F.coalesce("file_hash", F.md5(F.lit(""))))
 
 
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -56,20 +97,6 @@ def with_lineage(df: DataFrame, batch_id: str, file_name: str | Column, ingested
     return df.withColumns({"_ingested_at": F.current_timestamp() if ingested_at is None else ingested_at, "_file_name": name, BATCH: F.lit(batch_id)})
 
 
-def append_batch(df: DataFrame, path: str, batch_id: str, file_name: str, ingested_at: Column | None = None) -> int:
-    """Write one batch as its partition and return the rows stored.
-
-    The batch's partition is overwritten as a whole on commit, so a batch that fails leaves nothing and one that is written
-    again replaces itself; other batches are never touched.
-    """
-    rows = with_lineage(nan_to_null(df), batch_id, file_name, ingested_at)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
-    return batch_rows(df.sparkSession.read.parquet(path), batch_id)
-
-
-METRICS = "file_name string, table_name string, batch_id string, file_hash string, start_time timestamp, end_time timestamp, processing_status string, rows_processed long, rows_inserted long, rows_updated long, rows_failed long, file_size_bytes long, error_message string, load_duration_seconds double"
-
-
 def folder(spark: SparkSession, path: str):
     """Hadoop's view of a path: (file system, path)."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -81,36 +108,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRICS).parquet(path) if exists(spark, path) else spark.createDataFrame([], METRICS)
-
-
-def load(df: DataFrame, path: str, metrics: str, table_name: str, batch_id: str, file_name: str, file_hash: str | None = None, file_size: int = 0, ingested_at: Column | None = None) -> str:
-    """Append a file as a batch and write a row of metrics; the status is COMPLETED, or SKIPPED where the metrics have the
-    same file as completed. A file whose types the stored table doesn't take, or that fails, gets a FAILED row, and raises."""
-    spark = df.sparkSession
-    began, clock = datetime.now(UTC), time.monotonic()
-
-    def record(status: str, rows: int = 0, error: str | None = None) -> str:
-        row = (file_name, table_name, batch_id, file_hash, began, datetime.now(UTC), status, rows, rows, 0, 0, file_size, error, time.monotonic() - clock)
-        spark.createDataFrame([row], METRICS).coalesce(1).write.mode("append").parquet(metrics)
-        return status
-
-    done = read_metrics(spark, metrics).where((F.col("file_name") == file_name) & F.col("file_hash").eqNullSafe(F.lit(file_hash)) & (F.col("processing_status") == "COMPLETED"))
-    if not done.isEmpty():
-        return record("SKIPPED")
-    try:
-        if exists(spark, path):
-            stored = declared_types(spark.read.parquet(path))
-            wrong = {c: (stored[c], t) for c, t in declared_types(df).items() if c in stored and not takes(stored[c], t)}
-            if wrong:
-                raise ValueError(f"types that the stored table doesn't take (stored, new): {wrong}")
-        return record("COMPLETED", append_batch(df, path, batch_id, file_name, ingested_at))
-    except Exception as e:
-        record("FAILED", error=str(e)[:1000])
-        raise
-
-
 def drop_batches(spark: SparkSession, path: str, batches: DataFrame) -> int:
     """Delete the partitions of the batches named (_batch_id), each as a whole; how many there were. Names reach the driver,
     one a batch, as the folders are deleted there."""

@@ -7,6 +7,7 @@ from lodestay import sources, streaming
 from lodestay.functions import record_hash
 from lodestay.operators import incremental as inc
 from lodestay.operators import marts
+from lodestay.sources import loading
 from lodestay.sources.keyed import Keyed
 
 
@@ -114,11 +115,11 @@ def test_facts_in_batches_are_those_of_one_load(spark):
 def test_loads_are_recorded_and_expire(spark):
     work = sources.work_dir(spark)
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
-    load = lambda d, k, h: sources.load(d, f"{work}/t", f"{work}/m", "t", f"b{k}", f"f{k}", h)
+    load = lambda d, k, h: loading.load(d, f"{work}/t", f"{work}/m", "t", f"b{k}", f"f{k}", h)
     assert [load(df, 1, "x"), load(df, 1, "x"), load(df.limit(1), 1, "y"), load(df, 2, None), load(df, 2, None)] == ["COMPLETED", "SKIPPED", "COMPLETED", "COMPLETED", "SKIPPED"]
     with pytest.raises(ValueError, match="id"):
         load(df.selectExpr("'x' AS id", "name"), 3, "z")
-    rows = sources.read_metrics(spark, f"{work}/m").collect()
+    rows = loading.read_metrics(spark, f"{work}/m").collect()
     assert sorted((r.batch_id, r.processing_status, r.rows_processed) for r in rows) == [("b1", "COMPLETED", 1), ("b1", "COMPLETED", 2), ("b1", "SKIPPED", 0), ("b2", "COMPLETED", 2), ("b2", "SKIPPED", 0), ("b3", "FAILED", 0)]
     assert all(r.end_time >= r.start_time and r.load_duration_seconds >= 0 for r in rows)
     assert sources.drop_batches(spark, f"{work}/t", spark.createDataFrame([("b1",), ("gone",)], "_batch_id string")) == 1
