@@ -69,6 +69,12 @@ def detect_changes(source: DataFrame, current: DataFrame, key: str, stamp: str =
     return source.join(known, key, "left").withColumn("requires_change", F.coalesce(changed, F.lit(False))).drop("__stamp", "__hash", "__known")
 
 
+def version_columns(source: DataFrame, key: str, as_of: str) -> DataFrame:
+    """source as open versions from as_of on."""
+    opened = {"valid_from": F.lit(as_of).cast("timestamp"), "valid_to": F.lit(OPEN_END).cast("timestamp"), "is_current": F.lit(True)}
+    return source.withColumns(opened).withColumn("version_sk", surrogate_key(key, F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss")))
+
+
 def scd2(dim: DataFrame | None, source: DataFrame, key: str, as_of: str, stamp: str = "_ingested_at", digest: str = "record_hash") -> DataFrame:
     """A dimension with history after one more batch.
 
@@ -77,11 +83,10 @@ def scd2(dim: DataFrame | None, source: DataFrame, key: str, as_of: str, stamp:
     key; as_of must rise from batch to batch.
     """
     start = F.lit(as_of).cast("timestamp")
-    opened = {"valid_from": start, "valid_to": F.lit(OPEN_END).cast("timestamp"), "is_current": F.lit(True)}
     if dim is None:
-        return source.withColumns(opened).withColumn("version_sk", surrogate_key(key, F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss")))
+        return version_columns(source, key, as_of)
     fresh = detect_changes(source, dim.where("is_current"), key, stamp, digest).where("requires_change").drop("requires_change")
-    versions = fresh.withColumns(opened).withColumn("version_sk", surrogate_key(key, F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss")))
+    versions = version_columns(fresh, key, as_of)
     ended = dim.join(fresh.select(key, F.lit(True).alias("__ends")), key, "left")
     closes = F.col("is_current") & F.coalesce("__ends", F.lit(False))
     kept = ended.withColumns({"valid_to": F.when(closes, start).otherwise(F.col("valid_to")), "is_current": F.col("is_current") & ~closes}).drop("__ends")

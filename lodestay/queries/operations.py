@@ -14,6 +14,7 @@ from lodestay.plans import bridge
 from lodestay.plans.bridge import LEDGER_SQL, table
 from lodestay.queries import Registry, b, flat, r
 from lodestay.sources import loading
+from lodestay.sources.history import History
 from lodestay.sources.keyed import Keyed
 
 registry = Registry()
@@ -64,6 +65,20 @@ _V2 = f"""SELECT id, {r('price')} AS price, '{FIRST}' AS valid_from, CASE WHEN i
   UNION ALL SELECT id, {r('price')}, '{SECOND}', {_OPEN}, TRUE, {_sk('id', chr(39) + SECOND + chr(39))} FROM ({BATCH[2]}) WHERE id % 10 = 0"""
 add("scd2_build", lambda s, d: _show(dim(s, d, 1)), _V1)
 add("scd2_apply_change", lambda s, d: _show(dim(s, d, 2)), _V2)
+
+
+def _stored(spark: SparkSession, d: str) -> DataFrame:
+    """Three batches into a stored dimension."""
+    history = History(spark, f"{sources.work_dir(spark)}/customers", "id")
+    for n, stamp in enumerate((FIRST, SECOND, THIRD), 1):
+        history.apply(batch(spark, d, n), stamp)
+    return history.read()
+
+
+_V3 = f"""SELECT id, {r('price')} AS price, '{FIRST}' AS valid_from, CASE WHEN id % 10 = 0 THEN '{SECOND}' ELSE {_OPEN} END AS valid_to, id % 10 <> 0 AS is_current, {_sk('id', chr(39) + FIRST + chr(39))} AS version_sk FROM ({BATCH[1]})
+  UNION ALL SELECT id, {r('price')}, '{SECOND}', CASE WHEN id < 10000000 THEN '{THIRD}' ELSE {_OPEN} END, id >= 10000000, {_sk('id', chr(39) + SECOND + chr(39))} FROM ({BATCH[2]}) WHERE id % 10 = 0
+  UNION ALL SELECT id, {r('price')}, '{THIRD}', {_OPEN}, TRUE, {_sk('id', chr(39) + THIRD + chr(39))} FROM ({BATCH[3]}) WHERE id % 10 = 0"""
+add("scd2_stored", lambda s, d: _show(_stored(s, d)), _V3)
 add("scd1_current", lambda s, d: incremental.scd1(dim(s, d, 2)).select("id", "price", F.date_format("last_updated_at", "yyyy-MM-dd").alias("last_updated_at")), f"SELECT id, price, substr(valid_from, 1, 10) AS last_updated_at FROM ({_V2}) WHERE is_current")
 add("scd3_prev_original", lambda s, d: incremental.scd3(dim(s, d, 3), "id").select("id", "current_price", "previous_price", "original_price", "price_changed", "price_percent_change", "room_type_changed"),
     f"""SELECT id, {r('c')} AS current_price, {r('p')} AS previous_price, {r('o')} AS original_price, coalesce(c <> coalesce(p, c), FALSE) AS price_changed, CASE WHEN p IS NOT NULL AND c <> p THEN coalesce({r('(c::DOUBLE - p::DOUBLE) / nullif(p::DOUBLE, 0) * 100', 2)}, NULL) ELSE 0 END AS price_percent_change, FALSE AS room_type_changed FROM
