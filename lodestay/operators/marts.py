@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -273,8 +274,9 @@ def availability_monthly(calendar: DataFrame) -> DataFrame:
 def host_performance(listings: DataFrame, calendar: DataFrame, reviews: DataFrame, mode: str = "deduplicated") -> DataFrame:
     """Activity, revenue, reviews and growth of each host and month.
 
-    deduplicated: reviews are summed by listing and month before they meet the days. as_written: every day of a month meets
-    every review of the month, which multiplies days and revenue.
+    deduplicated: reviews are summed by listing and month before they meet the days. as_written: every day of a month counts
+    once for each review of the listing's month, and every review once for each day. Those rows are never made: each side is
+    summed by listing and month and multiplied by the other's count, and distinct reviews are counted apart.
     """
     days = calendar.select("listing_id", F.trunc("calendar_date", "month").alias("month_date"), "is_available", "price")
     held = reviews.select("listing_id", F.trunc("review_date", "month").alias("month_date"), "review_id", "sentiment", "review_length")
@@ -289,24 +291,21 @@ def host_performance(listings: DataFrame, calendar: DataFrame, reviews: DataFram
         "price_sum": F.sum("price"),
     }
     keys = ["host_id", "host_name", "month_date"]
+    by_month = days.groupBy("listing_id", "month_date").agg(*[e.alias(n) for n, e in measures.items()])
+    more = ("positive_reviews", "length_sum", "lengths")
+    reviewed = held.groupBy("listing_id", "month_date").agg(
+        F.countDistinct("review_id").alias("review_count"), count_of(positive).alias("positive_reviews"), F.sum("review_length").alias("length_sum"), F.count("review_length").alias("lengths"), F.count("*").alias("__reviews")
+    )
+    joined = by_month.join(reviewed, ["listing_id", "month_date"], "left").join(hosts, "listing_id")
     if mode == "as_written":
-        joined = days.join(held, ["listing_id", "month_date"], "left").join(hosts, "listing_id")
-        grouped = joined.groupBy(*keys).agg(
-            F.countDistinct("listing_id").alias("active_listings"),
-            *[e.alias(n) for n, e in measures.items()],
-            F.countDistinct("review_id").alias("review_count"),
-            count_of(positive).alias("positive_reviews"),
-            F.sum("review_length").alias("length_sum"),
-            F.count("review_length").alias("lengths"),
-        )
-    else:
-        by_month = days.groupBy("listing_id", "month_date").agg(*[e.alias(n) for n, e in measures.items()])
-        reviewed = held.groupBy("listing_id", "month_date").agg(
-            F.countDistinct("review_id").alias("review_count"), count_of(positive).alias("positive_reviews"), F.sum("review_length").alias("length_sum"), F.count("review_length").alias("lengths")
-        )
-        joined = by_month.join(reviewed, ["listing_id", "month_date"], "left").join(hosts, "listing_id")
-        more = ("review_count", "positive_reviews", "length_sum", "lengths")
-        grouped = joined.groupBy(*keys).agg(F.countDistinct("listing_id").alias("active_listings"), *[F.sum(n).alias(n) for n in measures], *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in more])
+        joined = joined.withColumns({n: F.col(n) * F.coalesce("__reviews", F.lit(1)) for n in measures} | {n: F.col(n) * F.col("total_days") for n in more})
+    summed = [*[F.sum(n).alias(n) for n in measures], *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in more]]
+    grouped = joined.groupBy(*keys).agg(F.countDistinct("listing_id").alias("active_listings"), *summed, F.coalesce(F.sum("review_count"), F.lit(0)).alias("review_count"))
+    if mode == "as_written":  # a review of two listings of a host counts once
+        met = held.select("listing_id", "month_date", "review_id").distinct().join(by_month.select("listing_id", "month_date"), ["listing_id", "month_date"], "left_semi")
+        apart = met.join(hosts, "listing_id").groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.countDistinct("review_id").alias("__distinct"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        grouped = grouped.join(apart, same, "left").withColumn("review_count", F.coalesce("__distinct", F.lit(0)))
     shown = grouped.select(
         *keys,
         *("active_listings", "booked_days", "available_days", "total_days"),

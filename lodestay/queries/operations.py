@@ -15,7 +15,7 @@ from lodestay.plans.bridge import LEDGER_SQL, table
 from lodestay.queries import Registry, b, flat, r
 from lodestay.sources import loading
 from lodestay.sources.history import History
-from lodestay.sources.keyed import Keyed
+from lodestay.sources.keyed import Keyed, upsert_latest
 
 registry = Registry()
 FIRST, SECOND, THIRD = "2002-01-01 00:00:00", "2002-02-01 00:00:00", "2002-03-01 00:00:00"
@@ -393,3 +393,34 @@ def _dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 add("stream_dedup", _dedup, "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1")
+
+
+def _late(spark: SparkSession, d: str) -> DataFrame:
+    """Events in three triggers, the watermark two days behind: the first half of the month; the rest, with the last day of the
+    first half again; and new rows of the first days, which come too late."""
+    work = sources.work_dir(spark)
+    events = table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    day_ = F.dayofmonth("ts")
+    late = events.where(day_ <= 5).withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    for part in (events.where(day_ <= 15), events.where(day_ >= 15), late):
+        part.coalesce(1).write.mode("append").parquet(f"{work}/in")
+    stream = spark.readStream.schema("event_id long, event_type string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    query = streaming.run(streaming.dedup_stream(stream, ["event_id"], "ts", "2 days"), lambda b_, n: b_.write.mode("overwrite").parquet(f"{work}/out/n={n}"), f"{work}/checkpoint")
+    seen = streaming.progress(query)
+    shown = spark.createDataFrame([(sum(p["late"] for p in seen), sum(p["repeated"] for p in seen), max(p["held"] for p in seen) > seen[-1]["held"])], "late long, repeated long, shrank boolean")
+    return spark.read.parquet(f"{work}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids")).join(F.broadcast(shown))
+
+
+add("stream_late_rows", _late, "SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids, (SELECT count(*) FILTER (day(ts) <= 5) FROM events) AS late, (SELECT count(*) FILTER (day(ts) = 15) FROM events) AS repeated, TRUE AS shrank FROM events GROUP BY 1")
+
+
+def _newer(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of the first years stored; newer ones by the stored table's own watermark."""
+    orders = table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    stored = Keyed(spark, f"{sources.work_dir(spark)}/orders", ["o_orderkey"], stamp="o_orderdate")
+    for low, high in (("1990-01-01", "1998-01-01"), ("1998-01-01", "1999-06-15")):
+        stored.merge(orders.where(f"o_orderdate >= '{low}' AND o_orderdate < '{high}'"), upsert_latest(["o_orderkey"], F.desc("o_orderdate")))
+    return stored.above(orders).select("o_orderkey", "o_custkey")
+
+
+add("incremental_stored_watermark", _newer, "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1999-06-15 00:00:00')")

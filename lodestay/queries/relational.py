@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestay.functions import column_or, day, day_of_week, flag, mean, month_name, percent, ratio, record_hash, rounded, surrogate_key, weekday_name, whole_number
+from lodestay.operators import sketches
 from lodestay.plans.bridge import table
 from lodestay.queries import Registry, b, flat, r
 
@@ -99,6 +100,32 @@ add("agg_conditional_distinct", lambda t: t.lineitem.groupBy("l_linestatus").agg
 add("agg_conditional_avg", lambda t: items(t).groupBy("l_suppkey").agg(mean(F.when(day_of_week("ship").isin(0, 6), F.col("price"))).alias("weekend")), f"SELECT l_suppkey, {r(f'(sum({P}) FILTER (date_part({chr(39)}dow{chr(39)}, {SHIP}) IN (0, 6)))::DOUBLE / count(*) FILTER (date_part({chr(39)}dow{chr(39)}, {SHIP}) IN (0, 6))')} AS weekend FROM lineitem GROUP BY 1")
 add("agg_having", lambda t: t.orders.groupBy("o_custkey").agg(F.count("*").alias("n")).where("n > 12"), "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 12")
 add("agg_median", lambda t: items(t).groupBy("l_returnflag").agg(F.percentile("l_quantity", 0.5).alias("m")), f"SELECT l_returnflag, {r('quantile_cont(l_quantity, 0.5)')} AS m FROM lineitem GROUP BY 1")
+
+
+def _distinct_sketches(t) -> DataFrame:
+    """Customers by month in sketches, put together by year: how many there are, and whether the estimates keep to their bound."""
+    orders = t.orders.withColumns({"y": F.year("o_orderdate"), "m": F.month("o_orderdate")})
+    months = sketches.distinct_sketches(orders, ["o_orderstatus", "y", "m"], "o_custkey")
+    years = sketches.merge_distinct(months, ["y"]).select("y", sketches.distinct().alias("estimate"))
+    exact = orders.groupBy("y").agg(F.countDistinct("o_custkey").alias("customers"))
+    within = F.abs(F.col("estimate") - F.col("customers")) <= F.col("customers") * sketches.distinct_error()
+    return exact.join(years, "y").select("y", "customers", within.alias("within"))
+
+
+add("agg_distinct_sketch", _distinct_sketches, "SELECT year(o_orderdate) AS y, count(DISTINCT o_custkey) AS customers, TRUE AS within FROM orders GROUP BY 1")
+
+
+def _quantile_sketches(t) -> DataFrame:
+    """Prices by supplier in sketches, put together by return flag: the exact median, and whether the estimate's rank keeps to its bound."""
+    items = t.lineitem.select("l_returnflag", "l_suppkey", "l_extendedprice")
+    flags = sketches.merge_quantiles(sketches.quantile_sketches(items, ["l_returnflag", "l_suppkey"], "l_extendedprice"), ["l_returnflag"]).select("l_returnflag", sketches.quantile().alias("m"))
+    ranked = items.join(F.broadcast(flags), "l_returnflag").groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), F.percentile("l_extendedprice", 0.5).alias("median"), F.avg((F.col("l_extendedprice") <= F.col("m")).cast("int")).alias("rank")
+    )
+    return ranked.select("l_returnflag", "n", "median", (F.abs(F.col("rank") - 0.5) <= 2 * sketches.rank_error()).alias("within"))
+
+
+add("agg_median_sketch", _quantile_sketches, f"SELECT l_returnflag, count(*) AS n, {r('quantile_cont(l_extendedprice, 0.5)')} AS median, TRUE AS within FROM lineitem GROUP BY 1")
 add("agg_stddev", lambda t: t.supplier.groupBy("s_nationkey").agg(rounded(F.stddev("s_acctbal"), 3).alias("sd")), f"SELECT s_nationkey, {r('stddev_samp(s_acctbal)', 3)} AS sd FROM supplier GROUP BY 1")
 add("agg_corr", lambda t: t.lineitem.groupBy("l_returnflag").agg(F.corr("l_quantity", "l_extendedprice").alias("c"), F.corr("l_quantity", F.unix_timestamp("l_shipdate").cast("double")).alias("e")), f"SELECT l_returnflag, {r('corr(l_quantity, l_extendedprice)')} AS c, {r('corr(l_quantity, epoch(l_shipdate))')} AS e FROM lineitem GROUP BY 1")
 add("agg_ratio", lambda t: items(t).groupBy("l_suppkey").agg(ratio(F.sum("price"), F.sum(F.col("l_quantity").cast("decimal(12,2)"))).alias("per_unit")), f"SELECT l_suppkey, {r(f'sum({P})::DOUBLE / nullif(sum(l_quantity::DECIMAL(12,2))::DOUBLE, 0) * 1.0')} AS per_unit FROM lineitem GROUP BY 1")

@@ -19,7 +19,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,10 +70,11 @@ def sizes(spark: SparkSession, path: str) -> dict[int, int]:
 
 
 class Keyed:
-    """A stored table with its keys; `by` (the keys, or the first of them) decides a row's bucket."""
+    """A stored table with its keys; `by` (the keys, or the first of them) decides a row's bucket. With stamp (a timestamp's
+    column) the table's state has the greatest one that was ever written, noted by the job that wrote it."""
 
-    def __init__(self, spark: SparkSession, path: str, by: Sequence[str], buckets: int = BUCKETS, bucket_bytes: int = BUCKET_BYTES):
-        self.spark, self.path, self.by, self.buckets, self.bucket_bytes = spark, path.rstrip("/"), list(by), buckets, bucket_bytes
+    def __init__(self, spark: SparkSession, path: str, by: Sequence[str], buckets: int = BUCKETS, bucket_bytes: int = BUCKET_BYTES, stamp: str | None = None):
+        self.spark, self.path, self.by, self.buckets, self.bucket_bytes, self.stamp = spark, path.rstrip("/"), list(by), buckets, bucket_bytes, stamp
 
     def state(self) -> dict | None:
         return pointer(self.spark, self.path)
@@ -109,7 +110,9 @@ class Keyed:
             old = self.read(touched, state) if state else None
             written = f"{uuid.uuid4().hex}"
             new = change(old, fresh, lambda df: df.repartition(grown, *self.by))
-            new.withColumn("bucket", self.number(grown)).write.partitionBy("bucket").parquet(f"{self.path}/data/{written}")
+            seen = Observation()
+            high = F.max(F.unix_micros(F.col(self.stamp).cast("timestamp"))) if self.stamp else F.lit(None).cast("long")
+            new.withColumn("bucket", self.number(grown)).observe(seen, F.count(F.lit(1)).alias("rows"), high.alias("high")).write.partitionBy("bucket").parquet(f"{self.path}/data/{written}")
         finally:
             fresh.unpersist()
         got = sizes(self.spark, f"{self.path}/data/{written}")
@@ -121,10 +124,20 @@ class Keyed:
             "folders": kept | {str(b): written for b in got},
             "bytes": size | {str(b): s for b, s in got.items()},
             "batch": batch if batch is not None else state["batch"] if state else None,
+            "high": max((h for h in (state and state["high"], seen.get.get("high")) if h is not None), default=None),
         }
         switch(self.spark, self.path, state["number"] + 1 if state else 1, following)
         return True
 
+    def above(self, source: DataFrame) -> DataFrame:
+        """Rows of source newer than the newest of the table; all while it has none. The watermark is in the table's state, so
+        none of its rows is read, and as a plain value it is pushed down to the scan of source."""
+        state = self.state()
+        if state is None or state["high"] is None:
+            return source
+        mark = F.timestamp_micros(F.lit(state["high"]))
+        return source.where(F.col(self.stamp) > (mark.cast("timestamp_ntz") if dict(source.dtypes)[self.stamp] == "timestamp_ntz" else mark))
+
     def vacuum(self, keep: int = 2) -> int:
         """Delete what none of the last `keep` versions names, also what failed changes left; how many folders. No change
         may be under way, and readers of older versions lose their files."""

@@ -45,5 +45,25 @@ def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: s
 
 
 def dedup_stream(stream: DataFrame, keys: list[str], stamp: str, late: str) -> DataFrame:
-    """First row of each key within the watermark; state is dropped once it has passed."""
+    """First row of each key within the watermark; state is dropped once it has passed, and rows that come after that are
+    dropped too (a trigger judges by the watermark of the one before). progress() counts both."""
     return stream.withWatermark(stamp, late).dropDuplicatesWithinWatermark(keys)
+
+
+def progress(query: StreamingQuery) -> list[dict]:
+    """What each trigger did to the query's state: rows read, rows dropped as too late, duplicates dropped, rows held after it,
+    and the watermark by which it judged. Of the latest triggers (spark.sql.streaming.numRecentProgressUpdates of them)."""
+    out = []
+    for p in query.recentProgress:
+        state = p.stateOperators
+        out.append(
+            {
+                "batch": p.batchId,
+                "rows": p.numInputRows,
+                "late": sum(s.numRowsDroppedByWatermark for s in state),
+                "repeated": sum(int(s.customMetrics.get("numDroppedDuplicateRows", 0)) for s in state),
+                "held": sum(s.numRowsTotal for s in state),
+                "watermark": p.eventTime.get("watermark"),
+            }
+        )
+    return out

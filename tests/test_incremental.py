@@ -130,3 +130,20 @@ def test_log_folds_whatever_the_batches(spark):
     log = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (2, "c", 2), (1, "d", 2)], "k int, v string, at int")
     one = inc.upsert_log(inc.latest(log.where("at = 3"), ["k"], F.desc("at")), log.where("at < 3"), ["k"], F.desc("at"))
     assert sorted(map(tuple, one.collect())) == [(1, "b", 3), (2, "c", 2)]
+
+
+def test_late_rows_are_dropped_and_counted_and_the_state_shrinks(spark):
+    work, schema = sources.work_dir(spark), "k long, at timestamp"
+    put = lambda ids, day: spark.createDataFrame([(i,) for i in ids], "k long").withColumn("at", F.lit(f"2024-01-{day:02d}").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    put(range(50), 1)
+    put([0, 1, 50], 1)  # two again, while they are held
+    put([60], 20)
+    put([61], 20)  # a trigger judges by the watermark of the one before
+    put([70, 71], 2)  # behind it
+    put([62], 20)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    query = streaming.run(streaming.dedup_stream(stream, ["k"], "at", "2 days"), lambda b, n: b.write.mode("overwrite").parquet(f"{work}/out/n={n}"), f"{work}/cp")
+    seen = streaming.progress(query)
+    assert sum(p["late"] for p in seen) == 2 and sum(p["repeated"] for p in seen) == 2
+    assert max(p["held"] for p in seen) >= 51 and seen[-1]["held"] <= 3
+    assert sorted(r.k for r in spark.read.parquet(f"{work}/out").collect()) == [*range(51), 60, 61, 62]

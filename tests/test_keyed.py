@@ -113,3 +113,18 @@ def test_new_columns_are_appended_and_nothing_is_a_change_too(spark):
     assert rows(table.read()) == sorted([(1, "a", 1, None), (2, "c", 2, True), (None, "n", 1, None)], key=repr)
     table.merge(spark.createDataFrame([], "k long, v string, at int, extra boolean"), upsert_latest(["k"], F.desc("at")))
     assert table.read().count() == 3 and table.state()["number"] == 3
+
+
+def test_the_watermark_is_in_the_state_and_reaches_the_scan(spark):
+    work = sources.work_dir(spark)
+    events = spark.range(100).select("id", F.timestamp_seconds(F.col("id") * 3600).alias("at"))
+    events.write.parquet(f"{work}/in")
+    source = spark.read.parquet(f"{work}/in")
+    table = Keyed(spark, f"{work}/t", ["id"], buckets=4, stamp="at")
+    assert table.above(source).count() == 100
+    for part in ("id < 40", "id BETWEEN 20 AND 30"):
+        table.merge(source.where(part), upsert_latest(["id"], F.desc("at")))
+    newer = table.above(source)
+    assert sorted(r.id for r in newer.collect()) == list(range(40, 100))
+    plan = newer._jdf.queryExecution().executedPlan().toString()
+    assert f"{work}/t" not in plan and plan.count("FileScan") == 1 and "GreaterThan(at," in plan

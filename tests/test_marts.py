@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 
 from pyspark.sql import functions as F
@@ -47,6 +48,23 @@ def test_reviews_do_not_multiply_days(spark):
     assert marts.host_performance(listings, cal, reviews, "as_written").first().total_days == 24
 
 
+def test_every_day_meets_every_review_without_such_rows(spark):
+    rng = random.Random(3)
+    listings = spark.createDataFrame([(i, i // 2, f"h{i // 2}") for i in range(5)] + [(4, None, None)], "listing_id long, host_id long, host_name string")
+    days = [(i, date(2024, m, d) if d else None, rng.random() < 0.5, rng.choice([None, 10, 20])) for i in range(6) for m in (1, 2) for d in rng.sample(range(29), 6)]
+    cal = spark.createDataFrame(days, "listing_id long, calendar_date date, is_available boolean, price int").withColumn("price", F.col("price").cast("decimal(12,2)"))
+    held = [(rng.randrange(6), date(2024, rng.choice([1, 2, 3]), 5), rng.randrange(9), rng.choice(["positive", "neutral"]), rng.choice([None, 3, 8])) for _ in range(60)]
+    reviews = spark.createDataFrame(held, "listing_id long, review_date date, review_id long, sentiment string, review_length int")
+    pairs = cal.alias("c").join(reviews.alias("r"), (F.col("c.listing_id") == F.col("r.listing_id")) & (F.trunc("calendar_date", "month") == F.trunc("review_date", "month")), "left").join(listings.alias("l"), F.col("c.listing_id") == F.col("l.listing_id"))
+    want = pairs.groupBy("host_id", "host_name", F.trunc("calendar_date", "month").alias("month_date")).agg(
+        F.countDistinct("l.listing_id"), F.count_if(~F.col("is_available")), F.count("*"), F.sum(F.when(~F.col("is_available"), F.col("price")).otherwise(0)), F.avg("price").cast("double"), F.countDistinct("review_id"), F.avg("review_length")
+    )
+    got = marts.host_performance(listings, cal, reviews, "as_written")
+    show = lambda df: sorted([tuple(None if v is None else v if hasattr(v, "year") or isinstance(v, str) else round(float(v), 6) for v in r) for r in df.collect()], key=repr)
+    shown = ("host_id", "host_name", "month_date", "active_listings", "booked_days", "total_days", "estimated_revenue", "average_daily_rate", "review_count", "avg_review_length")
+    assert show(got.select(*shown)) == show(want)
+
+
 def test_listing_without_reviews(spark):
     dim = spark.createDataFrame([(1, "n", 7, "h", "x", "p", "r", 5.0)], "listing_id long, listing_name string, host_id long, host_name string, neighbourhood_cleansed string, property_type string, room_type string, price double")
     none = spark.createDataFrame([], "listing_id long, review_date date, review_id long, sentiment string, review_length int")
