@@ -5,9 +5,11 @@ pieces of at most `piece` tokens. Pieces are gathered in groups of about `window
 partitions with the largest differences are merged, largest sums of the one on smallest of the other, until one is left.
 Should its largest sum exceed the capacity, the group is packed again into one window more.
 
-Groups are made within a task, in the order of its rows, so nothing is shuffled and a task holds one group at a time. The
-same files split alike give the same sequences; another split of the files gives other sequences, as full. Pieces of equal
-size are taken in the order of the rows. A long text's ids are held whole, four bytes a token.
+Groups are made within a task, in the order of its rows. What a task has left at its end, less than a group, is gathered
+with the leftovers of the tasks beside it in groups of one to two times that size, through one exchange of those pieces alone. So how
+full the sequences are doesn't depend on how the rows are split: each group loses less than a window to rounding. The same
+files split alike give the same sequences; another split gives other ones, as full. A task holds one group at a time. Pieces
+of equal size are taken in the order of the rows. A long text's ids are held whole, four bytes a token.
 Null text counts as empty: one end id. Repeated rows are packed each. An empty table gives no rows; other columns are left out.
 """
 
@@ -16,13 +18,15 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestay.llm.common import documents, slices
+from lodestay.llm.common import documents, materialize, slices
 from lodestay.llm.vocab import default_path, word_ids
 
 CAPACITY, PIECE, WINDOWS, END_ID = 2048, 512, 256, 1
@@ -70,6 +74,12 @@ def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
         k += 1
 
 
+def placed(sizes: list[int], capacity: int) -> Iterator[tuple[list[int], list[int]]]:
+    """pack_group(), with the offset of each piece in its window."""
+    for members in pack_group(sizes, capacity):
+        yield members, [0, *accumulate(sizes[i] for i in members[:-1])]
+
+
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, piece: int = PIECE, windows: int = WINDOWS, with_ids: bool = True) -> DataFrame:
     """docs (doc_id, text) -> pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
@@ -81,33 +91,26 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, pie
     if with_ids:
         fields.append(T.StructField("ids", T.BinaryType()))
     schema = T.StructType(fields)
+    first = T.StructType([*fields, T.StructField("__task", T.LongType()), T.StructField("__nth", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = word_ids(path)
         task = TaskContext.get()
-        sequence = (task.partitionId() if task else 0) << 36
+        number = task.partitionId() if task else 0
+        sequence = number << 36
         done: list[tuple] = []
         group: list[tuple] = []
         held = 0
+        types = [None, *[pa.int64()] * 6, *[pa.binary()] * with_ids, pa.int64(), pa.int64()]
 
-        def close() -> None:
-            nonlocal sequence, held
-            for window in pack_group([p[2] for p in group], capacity):
-                offset = 0
-                for i in window:
-                    p = group[i]
-                    done.append((*p[:5], sequence, offset, *p[5:]))
-                    offset += p[2]
-                sequence += 1
-            group.clear()
-            held = 0
+        def put(p: tuple, sequence: int | None, offset: int | None, nth: int) -> None:
+            done.append((*p[:5], sequence, offset, *p[5:], number, nth))
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True), types, strict=True)], names=schema.names)
+            made = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True), types, strict=True)], names=first.names)
             done.clear()
             return made
 
-        types = [None, *[pa.int64()] * 6, *[pa.binary()] * with_ids]
         for batch in slices(batches, "text", 4 << 20):
             types[0] = batch.column("doc_id").type
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
@@ -119,22 +122,46 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, pie
                     part = ids[4 * start : 4 * (start + size)]
                     made = (doc_id, start, size, zlib.crc32(part), n, *[part] * with_ids)
                     if size == capacity:
-                        done.append((*made[:5], sequence, 0, *made[5:]))
+                        put(made, sequence, 0, 0)
                         sequence += 1
                     else:
                         group.append(made)
                         held += size
                         if held > windows * (capacity - SLACK) - piece:
-                            close()
+                            for members, offsets in placed([p[2] for p in group], capacity):
+                                for i, offset in zip(members, offsets, strict=True):
+                                    put(group[i], sequence, offset, 0)
+                                sequence += 1
+                            group.clear()
+                            held = 0
                     start += size
             if len(done) > 4096:
                 yield out()
-        if group:
-            close()
+        for nth, p in enumerate(group):
+            put(p, None, None, nth)
         if done:
             yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    def finish(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("__task", "ascending"), ("__nth", "ascending")])
+        sequence = (1 << 62) + (table.column("__group")[0].as_py() << 32)
+        order, sequences, offsets = [], [], []
+        for members, at in placed(table.column("length").to_pylist(), capacity):
+            order += members
+            sequences += [sequence] * len(members)
+            offsets += at
+            sequence += 1
+        taken = table.take(order)
+        given = {"sequence_id": pa.array(sequences, pa.int64()), "offset": pa.array(offsets, pa.int64())}
+        return pa.table({n: given.get(n, taken.column(n)) for n in schema.names})
+
+    made = materialize(docs.select("doc_id", "text").mapInArrow(run, first), "pieces")
+    left = made.where("sequence_id IS NULL")
+    whole = windows * (capacity - SLACK)
+    by_task = left.groupBy("__task").agg(F.sum("length").alias("__held"))  # a row a task
+    groups = by_task.select("__task", F.floor(F.sum("__held").over(Window.orderBy("__task")) / whole).alias("__group"))
+    rest = left.join(groups, "__task").groupBy("__group").applyInArrow(finish, schema)
+    return made.where("sequence_id IS NOT NULL").select(*schema.names).unionByName(rest)
 
 
 def op10_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:

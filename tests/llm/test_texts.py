@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from lodestay.llm import maxent, media, packing, pii, tokencount, vocab
 
 SCHEMA = "doc_id long, text string, spans string, n_tokens long, media binary"
@@ -374,6 +376,19 @@ def test_packing_keeps_every_id_once(spark):
     assert packing.pack(docs(spark, [])).count() == 0
 
 
+def test_fill_does_not_depend_on_the_split(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    counts = {}
+    for tasks in (1, 7, 50, 200):
+        got = packing.pack(table.repartition(tasks) if tasks > 1 else table.coalesce(1), with_ids=False)
+        windows = got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+        assert all(r.n == r.end <= 2048 for r in windows)
+        counts[tasks] = (len(windows), sum(r.n for r in windows))
+    assert len({n for _, n in counts.values()}) == 1  # every id once
+    most, least = max(n for n, _ in counts.values()), min(n for n, _ in counts.values())
+    assert most <= 1.01 * least and most <= 1.02 * counts[1][1] / 2048, counts
+
+
 def test_differencing_is_near_equal():
     rng = random.Random(7)
     sizes = [rng.randrange(1, 513) for _ in range(1200)]
