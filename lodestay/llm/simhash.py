@@ -182,8 +182,9 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, blocks: int = BLOCKS)
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """docs with exactly one row of each component: the smallest doc_id, nulls last, then the smallest hash of text and row;
-    same columns."""
-    rows = shield(docs, "doc_id", "text").withColumn("__hash", F.xxhash64("doc_id", "text", "__row"))
+    same columns. Rows are told apart by 128 bits of hash."""
+    rows = shield(docs, "doc_id", "text")
+    rows = rows.withColumn("__hash", F.concat(*[F.hex(F.xxhash64(F.lit(seed), "doc_id", "text", "__row")) for seed in (0, 1)]))
     found = _grouped(rows.select("doc_id", "text", "__hash"), MAX_BITS, BLOCKS)
     first = found.groupBy("__component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__hash")).alias("first"))
     chosen = first.select(F.col("first.__hash").alias("__chosen"))
