@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestay.operators import analyses, clean, marts
 from lodestay.plans import bridge
+from lodestay.plans.warehouse import Warehouse
 from lodestay.queries import Registry, b, flat, r
 from lodestay.sources import work_dir
 from lodestay.sources.keyed import Keyed
@@ -253,6 +254,42 @@ add("review_metrics_by_listing", lambda s, d: marts.review_metrics(listings(s, d
     f"""SELECT *, CASE WHEN review_count = 0 THEN 'No Reviews' WHEN positive_reviews > negative_reviews * 3 THEN 'Highly Rated' WHEN positive_reviews > negative_reviews THEN 'Well Rated' WHEN negative_reviews > positive_reviews THEN 'Poorly Rated' ELSE 'Mixed Reviews' END AS review_rating_category, coalesce({r(_ratio("positive_reviews", "review_count", "100.0"))}, 0) AS positive_review_percentage FROM
     (SELECT listing_id, listing_name, host_id, host_name, neighbourhood_cleansed, property_type, room_type, {r("any_value(price)")} AS price, count(review_id) AS review_count, {r("sum(review_length)::DOUBLE / nullif(count(review_length), 0)")} AS avg_review_length, min(review_date) AS first_review_date, max(review_date) AS last_review_date, {', '.join(f"{_count(f"sentiment = '{k}'")} AS {k}_reviews" for k in ("positive", "negative", "neutral"))} FROM li LEFT JOIN rv USING (listing_id) GROUP BY listing_id, listing_name, host_id, host_name, neighbourhood_cleansed, property_type, room_type)""")
 
+
+
+def _refreshed(spark: SparkSession, d: str) -> Warehouse:
+    """Two deliveries of each entity into a stored warehouse. The second brings the later days, the other reviews, and every
+    fifth listing at another price."""
+    house = Warehouse(spark, f"{work_dir(spark)}/warehouse", positive=bridge.POSITIVE, negative=bridge.NEGATIVE)
+    raw = {"listings": bridge.raw_listings(spark, d), "calendar": bridge.raw_calendar(spark, d), "reviews": bridge.raw_reviews(spark, d)}
+    first = {"calendar": "date < '1999-01-01'", "reviews": "id % 2 = 0"}
+    for entity, rows in raw.items():
+        house.deliver(entity, rows.where(first.get(entity, "TRUE")), "b1", f"{entity}_1.csv.gz", "h1", ingested_at="2001-11-05 00:00:00")
+    house.refresh()
+    later = {"calendar": raw["calendar"].where("date >= '1998-12-25'"), "reviews": raw["reviews"].where("id % 2 = 1"), "listings": raw["listings"].where("id % 5 = 0").withColumn("price", F.lit("$999.00"))}
+    for entity, rows in later.items():
+        house.deliver(entity, rows, "b2", f"{entity}_2.csv.gz", "h2", ingested_at="2001-12-05 00:00:00")
+    house.refresh()
+    return house
+
+
+def _by_listing(spark: SparkSession, d: str) -> DataFrame:
+    """What a listing looks like in the stored warehouse: price, versions, days, and reviews."""
+    house = _refreshed(spark, d)
+    now = house.current_listings().select("listing_id", "host_name", "price")
+    versions = house.listings.read().groupBy("listing_id").agg(F.count("*").alias("versions"))
+    days = house.facts().groupBy("listing_id").agg(F.count("*").alias("days"), F.count_if(~F.col("is_available")).alias("booked_days"), F.sum("price_change_from_previous_day").alias("rise"))
+    reviewed = house.valid_reviews().groupBy("listing_id").agg(F.count("*").alias("reviews"), F.countDistinct("reviewer_id").alias("reviewers"))
+    return now.join(versions, "listing_id").join(days, "listing_id").join(reviewed, "listing_id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("reviews", "reviewers")})
+
+
+add("warehouse_incremental", _by_listing, f"""SELECT listing_id, host_name, {r("CASE WHEN listing_id % 5 = 0 THEN 999.0 ELSE price END")} AS price, CASE WHEN listing_id % 5 = 0 THEN 2 ELSE 1 END AS versions,
+  days, booked_days, {r('rise')} AS rise, coalesce(reviews, 0) AS reviews, coalesce(reviewers, 0) AS reviewers FROM li
+  JOIN (SELECT listing_id, count(*) AS days, {_count('NOT is_available')} AS booked_days, sum(price_change_from_previous_day) AS rise FROM fct GROUP BY 1) USING (listing_id)
+  LEFT JOIN (SELECT listing_id, count(*) AS reviews, count(DISTINCT reviewer_id) AS reviewers FROM rv GROUP BY 1) USING (listing_id)""")
+add("warehouse_hosts", lambda s, d: (lambda house: marts.host_performance(house.current_listings(), house.facts(), house.valid_reviews()))(_refreshed(s, d)), HOST_SHOWN + "hp")
+add("warehouse_reviewers", lambda s, d: _refreshed(s, d).reviewers.read(), """SELECT reviewer_id, reviewer_name, min(review_date) AS first_review_date, max(review_date) AS last_review_date, count(*) AS total_reviews, count(DISTINCT listing_id) AS unique_listings_reviewed,
+  CASE WHEN count(*) >= 10 THEN 'frequent' WHEN count(*) >= 3 THEN 'regular' ELSE 'new' END AS reviewer_tier FROM rc GROUP BY 1, 2""")
+
 # Analyses.
 
 

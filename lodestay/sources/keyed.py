@@ -95,7 +95,7 @@ class Keyed:
     def merge(self, fresh: DataFrame, change: Change, batch: int | None = None) -> bool:
         """Put change(old, fresh, deal) in place of the buckets that rows of fresh fall into, old being their rows (None at
         first). change must give rows of those buckets only, and deal what it groups by the keys, so that one exchange
-        serves its own work and the write. A numbered batch that is in already changes nothing: False."""
+        serves its own work and the write. False where nothing changes: a numbered batch that is in already, or no rows."""
         state = self.state()
         if state is not None and batch is not None and state["batch"] is not None and batch <= state["batch"]:
             return False
@@ -107,6 +107,8 @@ class Keyed:
         fresh = fresh.persist()
         try:
             touched = [r[0] for r in fresh.select(self.number(n).alias("b")).distinct().collect()] if grown == n else None  # at most n
+            if state is not None and touched == [] and batch is None:
+                return False
             old = self.read(touched, state) if state else None
             written = f"{uuid.uuid4().hex}"
             new = change(old, fresh, lambda df: df.repartition(grown, *self.by))
