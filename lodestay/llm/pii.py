@@ -10,8 +10,8 @@ digits, one digit changed) share a skip potential, however far apart, each linke
 are held at their label; loopy sum-product messages run over every document with a candidate, and a candidate that is sure
 enough becomes an added span.
 
-Potentials are piecewise maximum-likelihood estimates: counts over every document, summed by Spark; shapes are bounded, so
-they are a table of bounded size. A text with more nodes than WINDOW is inferred stretch by stretch, links back into an
+Potentials are learnt from counts over every document, summed by Spark: shares of shapes, and what a neighbour's label adds
+to them, by pseudo-likelihood. Shapes are bounded, so the counts are a table of bounded size. A text with more nodes than WINDOW is inferred stretch by stretch, links back into an
 earlier stretch being messages from its beliefs, so memory per text stays bounded beside the text and its nodes. Candidates
 that overlap a base span or an earlier candidate are left out; of equal starts the first kind listed wins. Null text counts
 as empty; repeated rows get equal spans; other columns are left out; an empty table gives no rows. No row moves between tasks.
@@ -33,7 +33,9 @@ from lodestay.llm.common import documents, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # 0: none
-SURE, STEPS, WINDOW = 0.9, 12, 4096
+SURE, STEPS, WINDOW, UNLABELLED = 0.9, 12, 4096, 0.05
+#: Log odds by which two numbers that share seven digits, or two equal addresses, have the same label before the table tells.
+SAME = 10.0
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -46,6 +48,7 @@ AT = re.compile(r"@| ?[(\[{] ?(?:at|AT) ?[)\]}] ?| (?:at|AT) ")
 BRACKETED = re.compile(r"[(\[{] ?(?:at|AT) ?[)\]}] ?")
 RUN = re.compile(r"[0-9]+")
 DOT = r"(?:\.| ?[(\[{] ?(?:\.|dot|DOT) ?[)\]}] ?| (?:dot|DOT) )"
+ENDS_IN_DOT = re.compile(r"[(\[{] ?(?:\.|dot|DOT) ?[)\]}]\Z")
 WRITTEN = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}}){{1,8}}")
 #: Candidates by kind, among digits.
 NUMERIC = {
@@ -56,6 +59,8 @@ NUMERIC = {
 #: Words that announce each kind.
 CUES = {"email": ("mail", "email", "write", "contact"), "ip": ("ip", "host", "server", "address"), "card": ("card", "visa", "pay"), "phone": ("tel", "phone", "telephone", "call", "fax", "mobile", "ring")}
 WORD = re.compile(r"[A-Za-z]+")
+#: Last labels of addresses that count by name.
+LAST_LABELS = frozenset("com org net edu gov mil int info biz io co me eu de fr es it nl uk us ch at be pl ru cn jp br in test example invalid".split())
 
 
 def luhn(digits: str) -> bool:
@@ -131,9 +136,14 @@ def written(text: str) -> list[tuple[int, int]]:
     """Addresses with something in place of the @ or of full stops."""
     out = []
     for at, end in ats(text):
-        start = at
-        while start > max(0, at - 64) and text[start - 1] in LOCAL:
-            start -= 1
+        start, least = at, max(0, at - 64)
+        while True:
+            while start > least and text[start - 1] in LOCAL:
+                start -= 1
+            dot = ENDS_IN_DOT.search(text, max(least, start - 7), start) if start < at else None
+            if dot is None or dot.start() <= least or text[dot.start() - 1] not in LOCAL:
+                break
+            start = dot.start()
         if start == at or not (d := WRITTEN.match(text, end)):
             continue
         plain = text[at] == " " and text[at + 1] in "aA" and text[start:at].isalpha() and not re.search("dot|DOT|[(\\[{]", d.group())
@@ -181,20 +191,23 @@ def core(token: str, kind: int) -> str:
     if kind != 1:
         return DIGITS.sub("", token)
     local, _, domain = AT.sub("@", token.lower(), count=1).partition("@")
-    return f"{local}@{re.sub(DOT, '.', domain)}"
+    return f"{re.sub(DOT, '.', local)}@{re.sub(DOT, '.', domain)}"
 
 
 def shape(token: str, kind: int) -> str:
-    """How a token is built, without what only a matching pattern has."""
+    """How a token is built, without what only a matching pattern has. A few thousand shapes at most: a last label that isn't
+    listed counts by its length, groups of digits by their number, the lengths of the first four and the length of all."""
     if kind == 1:
         local, _, domain = core(token, 1).partition("@")
-        return "email " + "".join(c for c in "._%+-9" if c in re.sub("[0-9]", "9", local)) + f" {min(domain.count('.'), 4)} " + domain.rpartition(".")[2][:8]
+        last = domain.rpartition(".")[2]
+        return "email " + "".join(c for c in "._%+-9" if c in re.sub("[0-9]", "9", local)) + f" {min(domain.count('.'), 4)} " + (last if last in LAST_LABELS else str(min(len(last), 8)))
     if kind == 2:
         return "ip -" if "-" in token else "ip"
-    groups = [str(min(len(g), 20)) for g in RUN.findall(token)]
+    groups = [len(g) for g in RUN.findall(token)]
     if token.startswith("+") and len(groups) > 1:
         groups = groups[1:]
-    return f"{KINDS[kind - 1]} {'-'.join(groups[:8])}"
+    more = f" {len(groups)} {min(sum(groups), 20)}" if len(groups) > 4 else ""
+    return f"{KINDS[kind - 1]} {'-'.join(str(min(g, 20 if len(groups) == 1 else 8)) for g in groups[:4])}{more}"
 
 
 def cue(text: str, start: int, kind: int) -> bool:
@@ -229,50 +242,89 @@ def described(text: str, nodes: list[tuple[int, int, int, bool]]) -> tuple[list[
     return keys, chain, skip
 
 
-def count(text: str, counts: Counter) -> None:
-    """Adds a document's (piece, key, label, other label) to counts."""
+def count(text: str, counts: Counter, field: Field | None = None) -> None:
+    """Adds a document's (piece, key, label, neighbour's label) to counts: of nodes; with a field, of its links instead, where
+    a candidate has a label if the field is sure of it."""
     nodes = nodes_of(text, base_spans(text))
     if not nodes:
         return
     keys, chain, skip = described(text, nodes)
     labels = [k if held else 0 for _, _, k, held in nodes]
-    for key, y in zip(keys, labels, strict=True):
-        # a shape counts with and without its cue; a held card also as one that passes its check, while free ones that pass
-        # it were only spoilt by a neighbour, so they say nothing
-        for k in {key, key.replace(" cue", "")} if not key.endswith(" ok") else ():
-            counts["node", k, y, 0] += 1
-            if y == 3:
-                counts["node", k + " ok", y, 0] += 1
-    for name, pairs in (("chain", chain), ("skip", skip)):
-        for i, j in pairs:
-            counts[name, "", labels[i], labels[j]] += 1
+    if field is None:
+        for key, y in zip(keys, labels, strict=True):
+            # a shape counts with and without its cue; a held card also as one that passes its check, while free ones that pass
+            # it were only spoilt by a neighbour, so they say nothing
+            for k in {key, key.replace(" cue", "")} if not key.endswith(" ok") else ():
+                counts["node", k, y, 0] += 1
+                if y == 3:
+                    counts["node", k + " ok", y, 0] += 1
+    elif chain or skip:
+        belief = field.marginals(text, nodes)
+        likely = [k if held or p[k] >= SURE else 0 for (_, _, k, held), p in zip(nodes, belief, strict=True)]
+        for name, pairs in (("chain", chain), ("skip", skip)):
+            for i, j in (*pairs, *((j, i) for i, j in pairs)):
+                counts[name, keys[j].removesuffix(" ok"), likely[j], likely[i]] += 1
+
+
+def against(key: str) -> float:
+    """How much a node without a label speaks against its shape. A number that fails its check digit is no card, and plain
+    digits are mostly something else, so these count whole. Other candidates look as they do because someone wrote the
+    thing so; they are unlabelled rather than wrong, and count little."""
+    kind, _, groups = key.removesuffix(" cue").partition(" ")
+    return 1.0 if kind == "card" or kind == "phone" and groups.isdigit() else UNLABELLED
+
+
+def learnt(odds: np.ndarray, sign: np.ndarray, yes: np.ndarray, no: np.ndarray, usual: float, spread: float) -> float:
+    """The weight that, added or taken off by sign, best explains labels beside what shapes say: logistic with the shapes' log
+    odds as offsets, by Newton steps. Where few nodes tell, it stays near what is usual (a normal prior of that spread)."""
+    w = usual
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(odds + sign * w, -40, 40)))
+        slope = (sign * (yes - (yes + no) * p)).sum() - (w - usual) / spread**2
+        step = slope / (((yes + no) * p * (1 - p)).sum() + 1 / spread**2)
+        w += float(np.clip(step, -1, 1))
+        if abs(step) < 1e-6:
+            break
+    return w
 
 
 class Field:
-    """Potentials from counts, and inference in one document."""
+    """Potentials from counts, and inference in one document.
+
+    Unary potentials are the shares of a shape. A pair potential is 0 where both labels are the same, also none, and -s where
+    one is kind k and the other none: a neighbour of that kind adds s to the log odds of k, one without a label takes s off, so
+    nodes that are both unsure don't lift each other. s is learnt from all linked nodes, given what their shapes say. Before any is
+    seen it is SAME for similar nodes, and 0 for neighbours in text. Two kinds that differ repel by the mean of theirs.
+    """
 
     def __init__(self, rows: list[tuple[str, str, int, int, int]]):
         self.share: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(2))  # of a key: nodes without a label, and with one
-        pairs = {"chain": np.full((LABELS, LABELS), 0.5), "skip": np.full((LABELS, LABELS), 0.5)}
+        seen: dict[tuple[str, int], dict[tuple[str, int], np.ndarray]] = defaultdict(lambda: defaultdict(lambda: np.zeros(2)))
         for piece, key, y, z, n in rows:
+            kind = KINDS.index(key.partition(" ")[0]) + 1 if key.partition(" ")[0] in KINDS else 0
             if piece == "node":
-                self.share[key][int(y > 0)] += n
-            else:
-                pairs[piece][y, z] += n
-        # how much more often two labels meet than their shares say; chains say little about it, so they are held to a factor of 1.5
-        pair = {p: np.log(c / c.sum()) - np.log(c.sum(1, keepdims=True) / c.sum()) - np.log(c.sum(0, keepdims=True) / c.sum()) for p, c in pairs.items()}
-        self.chain = np.clip(pair["chain"], -np.log(1.5), np.log(1.5))
-        # similar nodes differ in label only where a pattern failed on one of them, which counts can't tell; so two equal
-        # ones count for at least `floor`, and unequal ones against it; nodes that are similar but unsure don't lift each other
-        same = np.eye(LABELS, dtype=bool)
-        floor = 2 * np.log(LABELS)
-        self.skip = np.where(same, np.maximum(pair["skip"], floor), np.minimum(pair["skip"], -floor))
+                self.share[key][int(y > 0)] += n * (1.0 if y else against(key))
+            elif kind and z in (0, kind):
+                seen[piece, kind][key, 1 if z else -1][int(y > 0)] += n
+        self.skip = self.table(SAME, 1.0, [seen["skip", k] for k in range(1, LABELS)])
+        self.chain = self.table(0.0, 0.25, [seen["chain", k] for k in range(1, LABELS)])
+
+    def table(self, usual: float, spread: float, seen: list[dict[tuple[str, int], np.ndarray]]) -> np.ndarray:
+        s = np.zeros(LABELS)
+        for k, counts in enumerate(seen, 1):
+            odds = np.array([np.subtract(*self.unary(key, k)[[k, 0]]) for key, _ in counts])
+            no, yes = np.array(list(counts.values())).reshape(-1, 2).T
+            s[k] = learnt(odds, np.array([sign for _, sign in counts], float), yes, no, usual, spread)
+        out = -(s[:, None] + s[None, :]) / 2
+        out[0, :], out[:, 0] = -s, -s
+        np.fill_diagonal(out, 0.0)
+        return out
 
     def unary(self, key: str, kind: int) -> np.ndarray:
         """Log potentials: none, or the kind that the node may be. A shape that was never seen has one chance in ten."""
         free, held = self.share.get(key, self.share.get(key.replace(" cue", ""), (0, 0)))
         out = np.full(LABELS, -50.0)
-        out[0], out[kind] = np.log(free + 4.5), np.log(held + 0.5)
+        out[0], out[kind] = np.log(free + 1.8), np.log(held + 0.2)
         return out
 
     def beliefs(self, local: np.ndarray, chain: list[tuple[int, int]], skip: list[tuple[int, int]]) -> np.ndarray:
@@ -339,21 +391,25 @@ class Field:
 
 
 def fit(docs: DataFrame, text: str = "text") -> list[tuple[str, str, int, int, int]]:
-    """The field's counts over every document. Shapes are bounded, those of a kind seen fewer than three times are dropped."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
-                    count(t, counts)
-        rows = [(*k, n) for k, n in counts.items()]
-        yield pa.RecordBatch.from_pylist([dict(zip(("piece", "key", "y", "z", "n"), r, strict=True)) for r in rows], schema=schema)
-
+    """The field's counts over every document, rows by shape, label and neighbour's label of a bounded number: first of nodes,
+    then of links, candidates having the labels that the field of the first counts is sure of."""
     schema = pa.schema([("piece", pa.string()), ("key", pa.string()), ("y", pa.int64()), ("z", pa.int64()), ("n", pa.int64())])
-    found = docs.select(text).mapInArrow(run, "piece string, key string, y long, z long, n long")
-    summed = found.groupBy("piece", "key", "y", "z").agg(F.sum("n").alias("n")).where("piece <> 'node' OR n > 2")
-    return [tuple(r) for r in summed.orderBy("piece", "key", "y", "z").collect()]
+
+    def summed(known: list[tuple] | None) -> list[tuple[str, str, int, int, int]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts: Counter = Counter()
+            field = Field(known) if known is not None else None
+            for batch in slices(batches, text, 4 << 20):
+                for t in batch.column(0).to_pylist():
+                    if t:
+                        count(t, counts, field)
+            yield pa.RecordBatch.from_pylist([dict(zip(("piece", "key", "y", "z", "n"), (*k, n), strict=True)) for k, n in counts.items()], schema=schema)
+
+        found = docs.select(text).mapInArrow(run, "piece string, key string, y long, z long, n long")
+        return [tuple(r) for r in found.groupBy("piece", "key", "y", "z").agg(F.sum("n").alias("n")).orderBy("piece", "key", "y", "z").collect()]
+
+    nodes = summed(None)
+    return nodes + summed(nodes)
 
 
 def listed(spans: list[list[tuple[int, int]]]) -> str:
