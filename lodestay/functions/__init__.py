@@ -46,7 +46,7 @@ def sum_of(condition: Column, value: str | Column) -> Column:
 
 def money(text: str | Column, digits: int = 12) -> Column:
     """`$1,234.50` to a decimal with two places; null where it is not a number."""
-    return F.nullif(F.regexp_replace(F.trim(col(text)), "[$,]", ""), F.lit("")).try_cast(f"decimal({digits},2)")
+    return F.nullif(F.translate(F.trim(col(text)), "$,", ""), F.lit("")).try_cast(f"decimal({digits},2)")
 
 
 def percent(text: str | Column) -> Column:
@@ -102,9 +102,10 @@ def column_or(df: DataFrame, name: str, default: Column) -> Column:
     return F.col(name) if name in df.columns else default.alias(name)
 
 
-def contains_any(text: str | Column, words: Sequence[str]) -> Column:
-    """Whether a text holds one of the words, in any case; null text holds none."""
+def contains_any(text: str | Column, words: Sequence[str], lowered: bool = False) -> Column:
+    """Whether a text holds one of the words, in any case; null text holds none. lowered: the text is in lower case already."""
+    low = col(text) if lowered else F.lower(col(text))
     found = F.lit(False)
     for w in words:
-        found = found | F.contains(F.lower(col(text)), F.lit(w.lower()))
+        found = found | F.contains(low, F.lit(w.lower()))
     return F.coalesce(found, F.lit(False))

@@ -31,7 +31,7 @@ def truth(c: str) -> Column:
 
 
 def stg_listings(raw: DataFrame) -> DataFrame:
-    bare = F.regexp_replace("price", "[$,]", "")
+    bare = F.translate("price", "$,", "")
     numbers = ("host_listings_count", "accommodates", "bedrooms", "beds", "minimum_nights", "maximum_nights", *HOST_COUNTS)
     return raw.select(
         F.col("id").try_cast("bigint").alias("listing_id"),
@@ -171,8 +171,8 @@ def clean_listings(stg: DataFrame) -> DataFrame:
     )
 
 
-def sentiment(text: str = "review_text", positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> Column:
-    return F.when(contains_any(text, positive), "positive").when(contains_any(text, negative), "negative").otherwise("neutral")
+def sentiment(text: str = "review_text", positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE, lowered: bool = False) -> Column:
+    return F.when(contains_any(text, positive, lowered), "positive").when(contains_any(text, negative, lowered), "negative").otherwise("neutral")
 
 
 def review_quality() -> Column:
@@ -186,13 +186,14 @@ def review_quality() -> Column:
 
 
 def clean_reviews(stg: DataFrame, positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> DataFrame:
-    cleaned = stg.select(
+    # a column of its own, so that a long text is put into lower case once and not for every word
+    cleaned = stg.withColumn("__low", F.lower("review_text")).select(
         *[whole_number(c).alias(c) for c in ("review_id", "listing_id", "reviewer_id")],
         F.trim("reviewer_name").alias("reviewer_name"),
         day("review_date").alias("review_date"),
         F.trim("review_text").alias("review_text"),
         F.char_length(F.trim("review_text")).alias("review_length"),
-        sentiment("review_text", positive, negative).alias("sentiment"),
+        sentiment("__low", positive, negative, lowered=True).alias("sentiment"),
         *("_ingested_at", "record_hash"),
     )
     return cleaned.withColumn("data_quality_check", review_quality())

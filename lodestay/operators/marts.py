@@ -26,7 +26,8 @@ def fct_calendar_daily(clean: DataFrame) -> DataFrame:
     that order: its change is 0, and it is no other row's day before."""
     dated = F.col("calendar_date").isNotNull()
     before = F.lag("price").over(Window.partitionBy("listing_id", dated).orderBy("calendar_date"))
-    return clean.withColumn("price_change_from_previous_day", F.when(dated & before.isNotNull(), F.col("price") - before).otherwise(0))
+    change = F.when(dated & F.col("__before").isNotNull(), F.col("price") - F.col("__before")).otherwise(0)
+    return clean.withColumn("__before", before).withColumn("price_change_from_previous_day", change).drop("__before")
 
 
 def fct_calendar_incremental(facts: DataFrame | None, clean: DataFrame, deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

@@ -123,13 +123,15 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day of every supplier, from the first shipment of all to the last; days with a shipment are taken. Shipments are
-    summed by day before they are joined."""
+    summed by day before they are joined. Suppliers are dealt by key before their days are made, so a few suppliers in one file
+    don't make all days in one task, and what is grouped by listing later needs no exchange of the days."""
     items = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("listing_id"), F.to_date("l_shipdate").alias("d"), F.col("l_extendedprice").cast("decimal(12,2)").alias("p"))
     days = items.groupBy("listing_id", "d").agg(F.max("p").alias("day_price"), F.min("p").alias("least"), F.count("*").alias("shipped"))
     low = days.groupBy("listing_id").agg(F.min("least").alias("low_price"))
     spine = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("listing_id")).join(low, "listing_id", "left")
     first, last = (items.agg(f("d")).scalar() for f in (F.min, F.max))
-    spine = spine.withColumn("d", F.explode(F.sequence(first, last)))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spine = spine.repartition(n, "listing_id").withColumn("d", F.explode(F.sequence(first, last)))
     return _select(spine.join(days, ["listing_id", "d"], "left"), CALENDAR_COLUMNS)
 
 
