@@ -9,6 +9,7 @@ without new batches it changes nothing.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lodestay.operators import clean, incremental, marts
 from lodestay.operators.checks import Rule
-from lodestay.sources import BATCH, exists, loading
+from lodestay.sources import BATCH, loading
 from lodestay.sources.history import History
 from lodestay.sources.keyed import Keyed, upsert_latest
 
@@ -51,9 +52,13 @@ class Warehouse:
         return loading.load(rows, f"{at}/bronze/{entity}", f"{at}/metrics", entity, batch_id, file_name, file_hash, ingested_at=stamp, required=REQUIRED[entity], rules=rules, snapshots=f"{at}/snapshots")
 
     def bronze(self, entity: str) -> DataFrame | None:
-        """Every batch of an entity, columns that came later being null in earlier ones."""
-        path = f"{self.path}/bronze/{entity}"
-        return self.spark.read.option("mergeSchema", True).parquet(path) if exists(self.spark, path) else None
+        """Every batch of an entity, columns that came later being null in earlier ones. The schema is the last one kept, so no
+        file is opened to find it."""
+        last = loading.read_snapshots(self.spark, f"{self.path}/snapshots").where(F.col("table_name") == entity).orderBy(F.desc("number")).first()
+        if last is None:
+            return None
+        columns = json.loads(last.schema_snapshot) | {STAMP: "timestamp", "_file_name": "string", BATCH: "string"}
+        return self.spark.read.schema(", ".join(f"`{c}` {t}" for c, t in columns.items())).parquet(f"{self.path}/bronze/{entity}")
 
     def refresh(self) -> dict[str, bool]:
         """Bring every table up to date; which of them had something to take."""

@@ -76,6 +76,8 @@ def test_from_files_to_marts_in_steps(spark):
     assert set(deliver(spark, house, work, SECOND, 2, "2024-03-01 00:00:00").values()) == {"COMPLETED"}
     assert all(house.refresh().values()) and not any(house.refresh().values())
     assert untouched <= {p for p in Path(work, "house/stored/fct_calendar_daily").rglob("*.parquet")}
+    plan = house.calendar.above(house.bronze("calendar"))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(_ingested_at" in plan and house.calendar.above(house.bronze("calendar")).count() == 0
     # one computation over the newest row of each key
     newest = {e: {} for e in FIRST}
     dateless = []
