@@ -9,6 +9,7 @@ between restart markers are decoded side by side in numpy, those of all pictures
 restart markers is one stretch, right but slow). The inverse transform is exact integer arithmetic, so a picture's samples
 don't depend on its batch; chroma is upsampled by repetition, and RGB tensors are stored as bytes with height and width.
 
+A very long text is one picture, held whole in its task with its coefficients and planes (the format's sides allow 6 GB).
 Null text counts as empty: one block of zeros. Repeated rows get equal media; other columns pass through, those named like
 an added one are replaced; an empty table gives no rows. No row moves between tasks.
 """

@@ -5,7 +5,7 @@ number of pieces popped on the way; a word is read once, letter by letter, each
 again. Words are runs without blanks, A-Z lower-cased, as UTF-8 bytes, the last byte marked as the word's end (as a piece's
 last byte is, where it may only close a word); a word that the vocabulary can't spell counts as one unknown token. Answers for short words are kept in the worker.
 
-Null text has no words; repeated rows get the same counts; other columns pass through, replaced where named alike; an empty
+A very long text is counted a stretch of about a megabyte at a time, a very long word letter by letter. Null text has no words; repeated rows get the same counts; other columns pass through, replaced where named alike; an empty
 table gives no rows. No row moves between tasks.
 """
 
