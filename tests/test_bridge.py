@@ -50,3 +50,21 @@ def test_tasks_follow_the_days_and_one_exchange_serves_all(spark, monkeypatch):
     assert df.rdd.getNumPartitions() == 50 * 40 // 100
     plan = df.groupBy("listing_id", F.substring("date", 1, 7)).count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_texts_of_reviews_are_dealt_by_document(spark, monkeypatch):
+    d = sources.work_dir(spark)
+    tables = {
+        "documents": ([(i, f"text {i} " * 200) for i in range(20)], "doc_id long, text string"),
+        "orders": ([(k, k % 7, datetime(2024, 1, 1)) for k in range(2000)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        "lineitem": ([(k, k % 5) for k in range(2000)], "l_orderkey long, l_suppkey long"),
+        "customer": ([(k, f"c{k}") for k in range(7)], "c_custkey long, c_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d}/{name}.parquet")
+    monkeypatch.setattr(bridge, "TEXTS", 200)
+    df = bridge.raw_reviews(spark, d)
+    assert df.rdd.getNumPartitions() == 10
+    got = df.select("id", "comments", F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    assert {r.id: r.comments for r in got} == {k: f"text {k % 20} " * 200 for k in range(2000)}
+    assert sum(a.comments != b.comments for a, b in zip(got, got[1:], strict=False)) == 19  # equal texts side by side
