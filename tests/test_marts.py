@@ -70,3 +70,17 @@ def test_listing_without_reviews(spark):
     none = spark.createDataFrame([], "listing_id long, review_date date, review_id long, sentiment string, review_length int")
     out = marts.review_metrics(dim, none).first()
     assert (out.review_count, out.review_rating_category, out.positive_review_percentage) == (0, "No Reviews", 0.0)
+
+
+def test_opportunities_compute_the_listings_once(spark):
+    from lodestay import sources
+    from lodestay.operators import analyses
+
+    source = sources.work_dir(spark)
+    rows = [(i, f"l{i}", "Loft", "Room", "Asia", 4.0, float(i), 20.0 if i == 3 else 1.0, "2 Nights", i * 4, 80.0 if i == 5 else 50.0, 90.0) for i in range(8)]
+    spark.createDataFrame(rows, list(analyses.ECONOMICS)).write.parquet(source)
+    out = analyses.optimization_opportunities(spark.read.parquet(source))
+    assert not any(source in f for f in out.inputFiles())  # average, order and result read what was written once
+    got = [(r.listing_id, r.optimization_opportunity) for r in out.collect()]
+    no = "No major optimization needed"
+    assert got == [(3, "High cancellation rate"), (5, "Extend min nights requirement"), (2, "Increase min nights"), (4, no), (6, no), (7, no)]
