@@ -68,3 +68,18 @@ def test_texts_of_reviews_are_dealt_by_document(spark, monkeypatch):
     got = df.select("id", "comments", F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
     assert {r.id: r.comments for r in got} == {k: f"text {k % 20} " * 200 for k in range(2000)}
     assert sum(a.comments != b.comments for a, b in zip(got, got[1:], strict=False)) == 19  # equal texts side by side
+
+
+def test_texts_of_days_are_parsed_once_a_stretch(spark):
+    from lodestay.operators import clean
+
+    d = sources.work_dir(spark)
+    put(spark, d, [(1,), (2,), (4,), (4,)], [(1, 1, 10.0), (1, 30, 1234567890.0), (4, 5, None), (4, 6, 2.0), (2, 7, 3.5)])
+    each = clean.clean_calendar(clean.stg_calendar(bridge.raw_calendar(spark, d)))
+    once = clean.clean_calendar(clean.stg_calendar(bridge.raw_calendar(spark, d, clean.calendar_texts())))
+    assert once.dtypes == each.dtypes
+    got = sorted(map(tuple, once.collect()), key=repr)
+    assert got == sorted(map(tuple, each.collect()), key=repr) and len(got) == 4 * 30
+    plan = once.select("price", "is_available", "calendar_date")._jdf.queryExecution().optimizedPlan().toString()
+    days = plan.index("Generate explode")  # parents come first
+    assert "translate" not in plan[:days] and "translate" in plan[days:]
