@@ -83,3 +83,25 @@ def test_texts_of_days_are_parsed_once_a_stretch(spark):
     plan = once.select("price", "is_available", "calendar_date")._jdf.queryExecution().optimizedPlan().toString()
     days = plan.index("Generate explode")  # parents come first
     assert "translate" not in plan[:days] and "translate" in plan[days:]
+
+
+def test_texts_of_reviews_are_read_once_a_document(spark):
+    from lodestay.operators import clean
+
+    d, words = sources.work_dir(spark), (("good",), ("bad",))
+    tables = {
+        "documents": ([(0, " Good "), (1, "so BAD"), (2, "  "), (3, None), (9, "never met")], "doc_id long, text string"),
+        "orders": ([(k, k % 7, datetime(2024, 1, 1)) for k in range(200)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        "lineitem": ([(k, k % 5) for k in range(200)], "l_orderkey long, l_suppkey long"),
+        "customer": ([(k, f"c{k}") for k in range(7)], "c_custkey long, c_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d}/{name}.parquet")
+    each = clean.clean_reviews(clean.stg_reviews(bridge.raw_reviews(spark, d)), *words)
+    once = clean.clean_reviews(clean.stg_reviews(bridge.raw_reviews(spark, d, lambda t: clean.review_texts(t, "text", *words))), *words)
+    assert once.dtypes == each.dtypes
+    got = sorted(map(tuple, once.collect()), key=repr)
+    assert got == sorted(map(tuple, each.collect()), key=repr) and len(got) == 200  # order 4, 9, ... has no document
+    plan = once.select("review_length", "sentiment", "data_quality_check")._jdf.queryExecution().optimizedPlan().toString()
+    met = plan.index("Join LeftOuter")
+    assert "lower(" not in plan[:met] and "lower(" in plan[met:]

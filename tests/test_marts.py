@@ -84,3 +84,25 @@ def test_opportunities_compute_the_listings_once(spark):
     got = [(r.listing_id, r.optimization_opportunity) for r in out.collect()]
     no = "No major optimization needed"
     assert got == [(3, "High cancellation rate"), (5, "Extend min nights requirement"), (2, "Increase min nights"), (4, no), (6, no), (7, no)]
+
+
+def test_reviews_meet_dealt_days_without_an_exchange(spark):
+    from lodestay import sources
+    from lodestay.operators import marts
+
+    d = sources.work_dir(spark)
+    spark.sql("SELECT id % 20 AS listing_id, date_add(date '2024-01-01', CAST(id / 20 AS INT)) AS calendar_date, id % 3 = 0 AS is_available, CAST(id % 90 AS decimal(10,2)) AS price FROM range(2000)").write.parquet(f"{d}/days")
+    spark.sql("SELECT id % 23 AS listing_id, date_add(date '2024-01-01', CAST(id % 150 AS INT)) AS review_date, id % 400 AS review_id, if(id % 2 = 0, 'positive', 'neutral') AS sentiment, CAST(id % 50 AS INT) AS review_length FROM range(500)").write.parquet(f"{d}/held")
+    days, held = spark.read.parquet(f"{d}/days"), spark.read.parquet(f"{d}/held")
+    # listing 3 is there twice, 4 at two hosts
+    listings = spark.createDataFrame([(i, i % 4, f"h{i % 4}") for i in (*range(18), 3)] + [(4, 9, None)], "listing_id long, host_id long, host_name string")
+    deal = lambda df: df.repartition(6, "listing_id")
+    for mode in ("deduplicated", "as_written"):
+        plain = marts.host_performance(listings, days, held, mode)
+        dealt = marts.host_performance(listings, deal(days), held, mode, deal)
+        assert dealt.dtypes == plain.dtypes
+        assert sorted(map(tuple, dealt.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    first = marts.host_performance(listings, days, held).where("host_id = 3 AND month_date = date '2024-01-01'").first()
+    assert first.active_listings == 4 and first.total_days == 5 * 31  # 3 (twice), 7, 11, 15
+    plan = marts.host_performance(listings, deal(days), held, deal=deal)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(listing_id" in line and "REPARTITION" not in line]
