@@ -105,3 +105,17 @@ def test_texts_of_reviews_are_read_once_a_document(spark):
     plan = once.select("review_length", "sentiment", "data_quality_check")._jdf.queryExecution().optimizedPlan().toString()
     met = plan.index("Join LeftOuter")
     assert "lower(" not in plan[:met] and "lower(" in plan[met:]
+
+
+def test_bookings_are_dealt_by_listing(spark, monkeypatch):
+    from lodestay.operators import marts
+
+    d = sources.work_dir(spark)
+    spark.createDataFrame([(k, datetime(2024, 1, 1)) for k in range(200)], "o_orderkey long, o_orderdate timestamp_ntz").coalesce(1).write.parquet(f"{d}/orders.parquet")
+    items = [(k % 200, k % 50, datetime(2024, 1, 1) + timedelta(k % 90), "R" if k % 3 else "N") for k in range(1000)]
+    spark.createDataFrame(items, "l_orderkey long, l_suppkey long, l_shipdate timestamp_ntz, l_returnflag string").coalesce(1).write.parquet(f"{d}/lineitem.parquet")
+    monkeypatch.setattr(bridge, "ROWS", 100)
+    leads = marts.lead_times(bridge.bookings(spark, d))
+    assert leads.rdd.getNumPartitions() == 10  # grouped where they were dealt, whatever the session's number
+    assert sum(r.total_bookings_with_lead_time for r in leads.collect()) == 1000
+    assert marts.cancellations(bridge.bookings(spark, d, 7)).rdd.getNumPartitions() == 7
