@@ -7,8 +7,10 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from lodestay import sources
-from lodestay.operators import marts
+from lodestay.operators import clean, marts
 from lodestay.plans import bridge
+from lodestay.plans.warehouse import Warehouse
+from lodestay.queries import warehouse as queries
 from lodestay.sources.keyed import Keyed
 
 SCHEMA = "listing_id long, calendar_date date, price int, at int"
@@ -89,3 +91,21 @@ def test_days_of_a_stretch_of_time_are_those_filtered(spark):
     for since, until in (("1998-12-25", None), (None, "1999-01-01"), ("1998-12-25", "1999-01-01")):
         want = whole.where(f"date >= '{since or '0'}' AND date < '{until or '9'}'")
         assert rows(bridge.raw_calendar(spark, SF, since=since, until=until)) == rows(want) != []
+
+
+def test_texts_are_read_once_a_document_and_reviewers_grouped_once(spark, monkeypatch):
+    taken = []
+    merge = Keyed.merge
+
+    def watched(self, fresh, *more, **others):
+        taken.append((self.path.rsplit("/", 1)[1], fresh.inputFiles(), fresh._jdf.queryExecution().executedPlan().toString()))
+        return merge(self, fresh, *more, **others)
+
+    monkeypatch.setattr(Keyed, "merge", watched)
+    house: Warehouse = queries._refreshed(spark, SF)
+    assert all("lower(" not in plan for at, _, plan in taken if at == "reviews_cleaned")
+    assert all(f and all("/.reviewers-" in x for x in f) for at, f, _ in taken if at == "dim_reviewers")
+    assert not list(Path(house.path.removeprefix("file://"), "stored").glob(".reviewers-*"))
+    raw = bridge.raw_reviews(spark, SF)
+    each = clean.clean_reviews(clean.stg_reviews(raw), *house.words).select("review_id", "review_length", "sentiment", "record_hash")
+    assert rows(house.reviews.read().select(*each.columns)) == rows(each)
