@@ -4,6 +4,7 @@ import random
 from datetime import date
 from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from lodestay import sources
@@ -11,7 +12,8 @@ from lodestay.operators import clean, marts
 from lodestay.plans import bridge
 from lodestay.plans.warehouse import Warehouse
 from lodestay.queries import warehouse as queries
-from lodestay.sources.keyed import Keyed
+from lodestay.sources import loading
+from lodestay.sources.keyed import Keyed, upsert_latest
 
 SCHEMA = "listing_id long, calendar_date date, price int, at int"
 SF = "/root/testdata/sf0.001"
@@ -109,3 +111,28 @@ def test_texts_are_read_once_a_document_and_reviewers_grouped_once(spark, monkey
     raw = bridge.raw_reviews(spark, SF)
     each = clean.clean_reviews(clean.stg_reviews(raw), *house.words).select("review_id", "review_length", "sentiment", "record_hash")
     assert rows(house.reviews.read().select(*each.columns)) == rows(each)
+
+
+def test_stored_stamps_have_statistics_to_prune_by(spark):
+    work = sources.work_dir(spark).removeprefix("file://")
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    loading.append_batch(spark.range(9), f"{work}/bronze", "b1", "f", F.lit("2024-01-01").cast("timestamp"))
+    table = Keyed(spark, f"{work}/t", ["id"], buckets=1, stamp="_ingested_at")
+    table.merge(spark.read.parquet(f"{work}/bronze"), upsert_latest(["id"], F.desc("_ingested_at")))
+    for p in [*Path(work, "bronze").rglob("*.parquet"), *Path(work, "t").rglob("*.parquet")]:
+        group = pq.ParquetFile(p).metadata.row_group(0)
+        column = next(c for i in range(group.num_columns) if (c := group.column(i)).path_in_schema == "_ingested_at")
+        assert column.physical_type == "INT64" and column.statistics.has_min_max
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+
+
+def test_a_table_that_only_gains_rows_is_not_written_anew_for_its_size(spark):
+    table = Keyed(spark, f"{sources.work_dir(spark)}/t", ["k"], buckets=2, bucket_bytes=1000)
+    put = lambda low, high, at: table.merge(spark.range(low, high).select(F.col("id").alias("k"), F.lit(at).alias("at")), upsert_latest(["k"], F.desc("at")), keys=["k"])
+    put(0, 3000, 1)
+    before = files(table)
+    put(3000, 6000, 2)
+    state = table.state()
+    assert sum(state["bytes"].values()) > 4 * 2 * 1000 and state["buckets"] == 2 and before < files(table) and table.read().count() == 6000
+    put(5999, 6001, 3)  # one key is there already
+    assert table.state()["buckets"] > 2 and rows(table.read().where("k > 5997")) == [(5998, 2), (5999, 3), (6000, 3)] and table.read().count() == 6001
